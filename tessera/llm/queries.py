@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash
+from tessera.llm import decontaminate, mixing, simhash
 from tessera.runtime import read_table
 
 
@@ -12,8 +12,52 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.drop("spans")
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_mix_sources": op7_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bp AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, array_to_string(w[s:s + 9], ' ') AS t, least(len(w), 10) AS n FROM bp),
+dp AS (SELECT rid, doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d CROSS JOIN (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+hit AS (SELECT dp.rid, dp.s, dp.n, bw.item_id FROM dp JOIN bw ON bw.n = dp.n AND bw.t = array_to_string(dp.w[dp.s:dp.s + dp.n - 1], ' ')),
+pos AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM hit) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, sha256(string_agg(i, ',' ORDER BY i)) AS h FROM (SELECT DISTINCT rid, item_id::VARCHAR AS i FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
+"""
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(concat_ws(':', '42', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))), 1, 6))::BIGINT AS draw FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+r AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::INT] AS weight, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rk FROM s),
+c AS (SELECT *, source_size * 3 AS cap, (source_size * 3)::DOUBLE / weight AS ratio FROM r),
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY ratio, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / (sum(weight) OVER (ORDER BY ratio, rk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM c),
+t AS (SELECT source, source_size, CASE WHEN level >= ratio THEN cap::DOUBLE ELSE weight * max(CASE WHEN level < ratio THEN level END) OVER () END AS target FROM l),
+n AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
+g AS (SELECT source, draw, sum(size)::BIGINT AS words FROM d GROUP BY source, draw),
+k AS (SELECT source, draw, words, sum(words) OVER (PARTITION BY source ORDER BY draw) - words AS before FROM g),
+x AS (SELECT k.source, k.draw, k.before + k.words / 2.0 <= n.target - n.whole * n.source_size AS more FROM k JOIN n ON k.source IS NOT DISTINCT FROM n.source)
+SELECT d.doc_id, d.size, n.source_size, n.target, (d.size * (n.whole + CASE WHEN x.more THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.draw = x.draw
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_benchmark_decontamination": OP6_SQL,
+    "op7_mix_sources": OP7_SQL,
+}
