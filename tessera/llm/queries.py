@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, mixing, simhash
+from tessera.llm import decontaminate, license_scan, mixing, simhash
 from tessera.runtime import read_table
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,7 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_mix_sources": op7_mix_sources,
