@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, license_scan, mixing, simhash
+from tessera.llm import decontaminate, license_scan, mixing, simhash, token_output
 from tessera.runtime import read_table
 
 
@@ -25,11 +25,16 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_output(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_mix_sources": op7_mix_sources,
+    "op10_token_output": op10_token_output,
 }
 
 OP6_SQL = r"""
