@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, license_scan, mixing, simhash, token_output
+from tessera.llm import decontaminate, license_scan, mixing, quality, simhash, token_output
 from tessera.runtime import read_table
 
 
@@ -25,6 +25,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(read_table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_mix_sources": op7_mix_sources,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_token_output": op10_token_output,
 }
 
