@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, license_scan, mixing, quality, simhash, token_output
+from tessera.llm import decontaminate, license_scan, mixing, quality, simhash, token_output, toxicity
 from tessera.runtime import read_table
 
 
@@ -29,6 +29,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).drop("terms")
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(read_table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_mix_sources": op7_mix_sources,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_toxicity": op9_toxicity,
     "op10_token_output": op10_token_output,
 }
 
