@@ -2,9 +2,10 @@
 
 A 64-bit fingerprint is a ring of five segments. If two fingerprints differ in at most four bits,
 some segment starts a chain in which the first k segments differ in at most floor(4k/5) bits for
-every k: 0, 1, 2, 3, 4. The index holds, per fingerprint and start, the exact first segment with
-either exact half of the second (one difference leaves one half untouched), so every pair that can
-pass shares a key. Pairs are pruned by the chain budgets before the full Hamming check.
+every k: 0, 1, 2, 3, 4. The index holds, per fingerprint and start, the exact first segment with any
+two of the four halves of the next two segments (two differences leave two halves untouched), so
+every pair that can pass shares a key of about 26 bits. Pairs are pruned by the chain budgets before
+the full Hamming check.
 
 Copies share a fingerprint and are one node. Within a bucket, members are first tested against a
 few pivots, which is linear in the bucket; only members of buckets that still hold several
@@ -14,6 +15,7 @@ components are then compared across components, so tight groups never expand int
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -64,8 +66,8 @@ def add_fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4, seed
 
 
 def segments(max_diff: int = 4) -> list[tuple[int, int]]:
-    """(shift, width) of max_diff + 1 segments that make up 64 bits."""
-    m = max_diff + 1
+    """(shift, width) of the ring's segments: one more than the differences allowed, three at least."""
+    m = max(max_diff + 1, 3)
     widths = [64 // m + (i < 64 % m) for i in range(m)]
     return [(sum(widths[:i]), w) for i, w in enumerate(widths)]
 
@@ -76,21 +78,23 @@ def _bits(fp: Column, shift: int, width: int) -> Column:
 
 
 def index_keys(fp: Column, max_diff: int = 4) -> Column:
-    """Keys under which a fingerprint is indexed; they hold the chain's start in their top bits."""
+    """Keys under which a fingerprint is indexed: chain start, first segment, two exact quarters of the next two."""
     segs = segments(max_diff)
     keys = []
     for i, (shift, width) in enumerate(segs):
-        if max_diff == 0:
-            return F.array(fp)
-        s2, w2 = segs[(i + 1) % len(segs)]
-        cut = w2 // 2
-        first = _bits(fp, shift, width)
-        for half, (a, w) in enumerate(((s2, cut), (s2 + cut, w2 - cut))):
-            key = F.shiftleft(first, 32).bitwiseOR(_bits(fp, a, w)).bitwiseOR(F.lit((2 * i + half) << 56))
-            keys.append(key)
+        quarters = []
+        for s, w in (segs[(i + 1) % len(segs)], segs[(i + 2) % len(segs)]):
+            quarters += [(s, w // 2), (s + w // 2, w - w // 2)]
+        for c, (p, q) in enumerate(combinations(quarters, 2)):
+            key = F.lit((6 * i + c) << 48).bitwiseOR(F.shiftleft(_bits(fp, shift, width), q[1] + p[1]))
+            keys.append(key.bitwiseOR(F.shiftleft(_bits(fp, *p), q[1])).bitwiseOR(_bits(fp, *q)))
     return F.array(*keys)
 
 
+def chain_start(key: Column) -> Column:
+    return F.floor(F.shiftright(key, 48) / 6).cast("int")
+
+
 def within(a: Column, b: Column, start: Column, max_diff: int = 4) -> Column:
     """Chain budgets from the segment in which the pair met, then the full Hamming distance."""
     x = a.bitwiseXOR(b)
@@ -103,13 +107,13 @@ def within(a: Column, b: Column, start: Column, max_diff: int = 4) -> Column:
             d = F.bit_count(_bits(x, *segs[(i + k - 1) % m]))
             total = d if total is None else total + d
             ok = ok & (total <= k * max_diff // m)
-        chains = F.when(start == i, ok).otherwise(chains) if max_diff else F.lit(True)
+        chains = F.when(start == i, ok).otherwise(chains)
     return chains & (F.bit_count(x) <= max_diff)
 
 
 def link_fingerprints(fps: DataFrame, scratch: Scratch, max_diff: int = 4) -> DataFrame:
     """Distinct fingerprints (column fp) -> (node, root): those with links, under their smallest member."""
-    start = F.shiftright(F.col("key"), 57).cast("int")
+    start = chain_start(F.col("key"))
     keys = fps.select("fp", F.explode(index_keys(F.col("fp"), max_diff)).alias("key"))
     keys = scratch.keep(keys, "index")
     picks = [F.min(F.struct(F.xxhash64("fp", F.lit(r)).alias("h"), F.col("fp"))).getField("fp").alias(f"p{r}") for r in range(PIVOTS)]
@@ -120,7 +124,7 @@ def link_fingerprints(fps: DataFrame, scratch: Scratch, max_diff: int = 4) -> Da
     hits = F.array_compact(F.array(*[F.when(ok, F.col(f"p{r}")) for r, ok in enumerate(fits)]))
     near = scratch.keep(posted.select(F.col("fp").alias("u"), F.explode(F.array_distinct(hits)).alias("v")).distinct(), "near")
     comp = connected_components(near, scratch)
-    tagged = posted.where(f"n > {2}").select("key", "fp").join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("comp"))
+    tagged = posted.where("n > 2").select("key", "fp").join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("comp"))
     tagged = scratch.keep(tagged, "tagged")
     mixed = tagged.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
     rest = scratch.keep(tagged.join(mixed, "key"), "rest")
@@ -128,7 +132,7 @@ def link_fingerprints(fps: DataFrame, scratch: Scratch, max_diff: int = 4) -> Da
     a, b = rest.alias("a"), rest.alias("b")
     apart = (
         a.hint("merge")
-        .join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") < F.col("b.comp")) & within(F.col("a.fp"), F.col("b.fp"), F.shiftright(F.col("a.key"), 57).cast("int"), max_diff))
+        .join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") < F.col("b.comp")) & within(F.col("a.fp"), F.col("b.fp"), chain_start(F.col("a.key")), max_diff))
         .select(F.col("a.comp").alias("u"), F.col("b.comp").alias("v"))
         .distinct()
     )
