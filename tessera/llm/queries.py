@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, license_scan, mixing, quality, simhash, token_output, toxicity
+from tessera.llm import decontaminate, embedding_dedup, license_scan, mixing, quality, simhash, token_output, toxicity
 from tessera.runtime import read_table
 
 
@@ -16,6 +16,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.drop("spans")
@@ -40,6 +44,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_mix_sources": op7_mix_sources,
     "op8_quality_classifier": op8_quality_classifier,
@@ -78,6 +83,7 @@ FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source JOIN x ON d.source IS NO
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op6_benchmark_decontamination": OP6_SQL,
     "op7_mix_sources": OP7_SQL,
 }
