@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, embedding_dedup, license_scan, mixing, quality, simhash, token_output, toxicity
+from tessera.llm import decontaminate, embedding_dedup, license_scan, mixing, quality, simhash, substring_dedup, token_output, toxicity, warc
 from tessera.runtime import read_table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(read_table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(read_table(spark, sf_dir, "documents"))
 
@@ -20,6 +24,10 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(read_table(spark, sf_dir, "embeddings"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.drop("spans")
@@ -42,9 +50,11 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_license_scan": op2_license_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_warc": op5_warc,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_mix_sources": op7_mix_sources,
     "op8_quality_classifier": op8_quality_classifier,
@@ -84,6 +94,7 @@ FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source JOIN x ON d.source IS NO
 
 ORACLE_SQL: dict[str, str] = {
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_warc": op5_warc,
     "op6_benchmark_decontamination": OP6_SQL,
     "op7_mix_sources": OP7_SQL,
 }
