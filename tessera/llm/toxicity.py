@@ -37,6 +37,16 @@ PREFIXES = (4, 5, 6)
 MEMO_WORDS = 200_000
 BEAM = 24
 
+_IMITATES = re.escape("".join(c for c in LEET if not c.isdigit()))
+_WORD = rf"[^\W_]"
+#: letters and imitations in one piece, with at least one of each; a run of three; letters spelled out.
+_MIXED = re.compile(rf"(?=[0-9{_IMITATES}]*{_WORD}*?[^\W\d_])(?:{_WORD}|[{_IMITATES}])+")
+_SUSPECT = re.compile(rf"(?:[^\W\d_][0-9{_IMITATES}]|[0-9{_IMITATES}][^\W\d_])|([^\W\d_])\1\1")
+_LETTER = r"(?:[^\W_]|[@$!|+])"
+_SPELLED = re.compile(rf"(?<![^\W_]){_LETTER}([ .\-_*~/,]){_LETTER}(?:\1{_LETTER})+(?![^\W_])")
+_WORDS = 200_000
+BEAM = 24
+
 _IMITATES = re.escape("".join(c for c in LEET if not c.isdigit()))
 _WORD = rf"[^\W_]"
 #: letters and imitations in one piece, with at least one of each; a run of three; letters spelled out.
@@ -175,8 +185,10 @@ class Restorer:
         out = []
         for m in _SPELLED.finditer(text):
             letters = m.group()[::2]
-            if len(set(m.group()[1::2])) == 1:
-                out.append(self.word(letters))
+            if len(letters) <= 40:
+                w = self.word(letters)
+                # where one spelled word ends and the next begins isn't written: every cut is tried
+                out.append(" ".join([w, *[f"{w[:k]} {w[k:]}" for k in range(3, len(w) - 2)], w[1:], w[:-1]]))
         if _SUSPECT.search(text):
             for m in _MIXED.finditer(text):
                 if _SUSPECT.search(m.group()):
