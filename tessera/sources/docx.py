@@ -24,7 +24,7 @@ W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 HEADINGS = ("heading 1", "heading 2", "heading 3", "heading 4")
-MODES = ("metadata_only", "vision")
+MODES = ("metadata_only", "vision_llm")
 
 
 def _styles(z: zipfile.ZipFile) -> tuple[dict[str, str], str]:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
-from tessera.operators.extract import fallback_block, structured, unstructured
+from tessera.operators.extract import ENVELOPE, fallback_block, structured, unstructured
 
 FORMATS = ("parquet", "orc", "csv", "json", "text", "jdbc")
 
@@ -58,3 +58,8 @@ def write(df: DataFrame, kind: str, path: str | None = None, mode: str = "append
 def pretty(value: Column) -> Column:
     """A struct, array or map as indented JSON."""
     return F.to_json(value, {"pretty": "true"})
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """Envelopes written as JSON lines; lines that can't be parsed are skipped."""
+    return spark.read.schema("doc string, " + ENVELOPE).option("mode", "DROPMALFORMED").json(path)
