@@ -35,8 +35,7 @@ def build_sections(elements: DataFrame) -> DataFrame:
     2 to 80 characters as one.
     """
     e = annotate(elements)
-    if "images" not in e.columns:
-        e = e.withColumn("images", F.array().cast(IMAGE))
+    none = F.array().cast(IMAGE)
     body = (F.col("kind") == "p") & ~F.col("heading") & (F.col("text") != "")
     table = (F.col("kind") == "tbl") & (F.col("text") != "")
     ordered = lambda keep, value: F.transform(F.array_sort(F.collect_list(F.when(keep, F.struct("ord", value.alias("v"))))), lambda x: x["v"])
@@ -49,15 +48,18 @@ def build_sections(elements: DataFrame) -> DataFrame:
         ordered(body, F.col("text")).alias("paragraphs"),
         ordered(table, F.col("text")).alias("tables"),
     )
-    pictures = e.where(F.size("images") > 0).groupBy("doc", (F.col("section") - F.col("heading").cast("int")).alias("section")).agg(F.flatten(ordered(F.lit(True), F.col("images"))).alias("images"))
+    images = none
+    if "images" in e.columns:
+        pictures = e.where(F.size("images") > 0).groupBy("doc", (F.col("section") - F.col("heading").cast("int")).alias("section")).agg(F.flatten(ordered(F.lit(True), F.col("images"))).alias("images"))
     nxt = Window.partitionBy("doc").orderBy("section")
     s = own.withColumn("page_end", F.coalesce(F.lead("page_at").over(nxt), F.col("last_page"))).withColumn("para_end", F.coalesce(F.lead("para_at").over(nxt) - 1, F.col("last_para")))
     s = s.where((F.size("paragraphs") > 0) | (F.size("tables") > 0)).withColumn("rank", F.row_number().over(nxt))
     first_line = F.get(F.filter("paragraphs", lambda p: F.char_length(p).between(2, 80)), F.lit(0))
     untitled = F.when(F.col("rank") == 1, F.coalesce(first_line, F.lit(START))).otherwise(F.lit(START))
-    s = s.join(pictures, ["doc", "section"], "left")
+    if "images" in e.columns:
+        s, images = s.join(pictures, ["doc", "section"], "left"), F.coalesce("images", none)
     return s.select(
-        "doc", (F.col("rank") - 1).cast("int").alias("section"), F.coalesce("title", untitled).alias("heading"), "paragraphs", "tables", F.coalesce("images", F.array().cast(IMAGE)).alias("images"),
+        "doc", (F.col("rank") - 1).cast("int").alias("section"), F.coalesce("title", untitled).alias("heading"), "paragraphs", "tables", images.alias("images"),
         F.coalesce("page_at", F.lit(1)).cast("int").alias("page_start"), F.col("page_end").cast("int").alias("page_end"), F.coalesce("para_at", F.lit(0)).cast("int").alias("para_start"), F.col("para_end").cast("int").alias("para_end"),
         F.concat("paragraphs", F.transform("tables", lambda t: F.concat(F.lit(TABLE_MARK), t))).alias("parts"),
     )
