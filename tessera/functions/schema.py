@@ -83,6 +83,7 @@ class Schemas:
         return object_schema(self.combined(core, genre))
 
     def instructions(self, core: bool = True, genre: str | None = None) -> str:
+        """What the prompt says about the fields. Its wording is a fixed value."""
         parts = []
         if core and self.fields("core"):
             parts += ["### Core（必填）", *map(instruction, self.fields("core"))]

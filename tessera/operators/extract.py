@@ -144,7 +144,7 @@ _KEPT = _NAMES[:6]
 
 
 def envelope(chunk: dict[str, Any], provider: Provider, prompts: Prompts, clock: Callable[[], datetime]) -> dict[str, Any]:
-    """One chunk's result: parsed, unparseable or failed. Never raises."""
+    """One chunk's result: parsed, unparseable or failed. Never raises. The wording of fallback texts is a fixed value."""
     base = {k: chunk[k] for k in _KEPT} | {
         "is_structured": False, "extraction_result": None, "fallback_text": "", "extraction_method": "direct_prompt", "extraction_mode": "metadata_only", "extracted_at": clock().isoformat(), "latency_ms": 0, "model_name": provider.model,
         "model_endpoint": provider.endpoint, "token_usage_input": 0, "token_usage_output": 0, "confidence_score": 0.0, "thinking_content": "", "schema_version": prompts.schema_version, "prompt_version": prompts.version,
@@ -192,7 +192,7 @@ def unstructured(results: DataFrame) -> DataFrame:
 
 
 def fallback_block(chunk_id: Column, source: Column, page: Column, section: Column, at: Column, text: Column) -> Column:
-    """The text block of a chunk that gave no structured result; missing values have defaults."""
+    """The text block of a chunk that gave no structured result; missing values have defaults. Its layout is a fixed value."""
     or_ = lambda c, d: F.coalesce(c.cast("string"), F.lit(d))
     return F.concat_ws(
         "\n", F.lit("=" * 60), F.concat(F.lit("CHUNK: "), or_(chunk_id, "unknown")), F.concat(F.lit("SOURCE: "), or_(source, "unknown"), F.lit(", Page "), or_(page, "0")), F.concat(F.lit("SECTION: "), or_(section, "")),

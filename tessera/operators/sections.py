@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 
+#: The heading of text before the first heading, and what precedes a table in a chunk.
 START = "(document start)"
 TABLE_MARK = "\n[表格]\n"
 IMAGE = "array<struct<image_ref:string,page_estimate:int,mode:string>>"
