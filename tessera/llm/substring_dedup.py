@@ -6,8 +6,8 @@ digest: the first, by document id and place, is kept, later ones are repeats. Ne
 join into spans; spans of ``min_words`` words at least are reported and can be cut out. A passage
 loses less than two chunks at its ends, which bounds what a span may fall short of the passage.
 
-Digests are counted with a partial aggregate before the shuffle, and only repeated digests are
-joined back, so a chunk that a third of all documents hold is one row per task.
+Digests are counted with a partial aggregate before the shuffle, so a chunk that a third of all
+documents hold is one row per task; only rows of repeated digests go on to the ordering of places.
 """
 
 from __future__ import annotations
@@ -108,23 +108,27 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     """
     scratch = Scratch(docs.sparkSession, "substrings")
     chunked = scratch.keep(chunk_documents(docs, id_col, text), "chunks")
-    flat = chunked.select("id", "key", "starts", "words", F.posexplode("digests").alias("k", "digest"))
-    place = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("at"), F.col("key"), F.get("starts", F.col("k")).alias("start"))
-    counted = chunked.select("id", "key", "starts", F.posexplode("digests").alias("k", "digest")).groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    shared = scratch.keep(counted.where("first <> last").select("digest", "first"), "repeated")
-    seen = flat.select("id", "key", "k", F.get("starts", F.col("k")).alias("s"), F.get("starts", F.col("k") + 1).alias("e"), F.get("words", F.col("k")).alias("n"), "digest").join(shared, "digest")
-    own = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("at"), F.col("key"), F.col("s").alias("start"))
-    later = seen.where(own != F.col("first")).select("id", "key", F.struct("k", "s", "e", "n", F.when(~F.col("first.none"), F.col("first.at")).alias("of")).alias("c"))
+    # a chunk's place in one number: start, length (MAX_CHUNK at most), words
+    at = F.shiftleft(F.get("starts", F.col("k")).cast("long"), 16) + F.shiftleft(F.get("starts", F.col("k") + 1) - F.get("starts", F.col("k")), 8) + F.get("words", F.col("k"))
+    counted = chunked.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    flat = chunked.select("id", "key", "starts", "words", F.posexplode("digests").alias("k", "digest")).select("digest", "id", "key", at.alias("at"))
+    seen = scratch.keep(flat.join(counted.where("n > 1").select("digest"), "digest"), "repeated")
+    scratch.drop(chunked)
+    own = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("doc"), F.col("key"), F.shiftright("at", 16).alias("start"))
+    first = seen.groupBy("digest").agg(F.min(own).alias("first"))
+    s, size, words = F.shiftright("at", 16).cast("int"), F.shiftright("at", 8).bitwiseAND(F.lit(255)).cast("int"), F.col("at").bitwiseAND(F.lit(255)).cast("int")
+    chunk = F.struct(s.alias("s"), (s + size).alias("e"), words.alias("n"), F.when(~F.col("first.none"), F.col("first.doc")).alias("of"))
+    later = seen.join(first, "digest").where(own != F.col("first")).select("id", "key", chunk.alias("c"))
     # a document's repeats, at most its own chunks, in order: neighbours join
     per_doc = later.groupBy("id", "key").agg(F.array_sort(F.collect_set("c")).alias("cs"))
-    kind = "array<struct<k:int,s:int,e:int,n:int,m:int,of:bigint>>"
-    start = F.struct(F.array().cast(kind).alias("done"), F.lit(None).cast("struct<k:int,s:int,e:int,n:int,m:int,of:bigint>").alias("open"))
+    span = "struct<s:int,e:int,n:int,m:int,of:bigint>"
+    start = F.struct(F.array().cast(f"array<{span}>").alias("done"), F.lit(None).cast(span).alias("open"))
 
     def step(a, c):
-        fresh = F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e"), c["n"].alias("n"), F.lit(1).alias("m"), c["of"].alias("of"))
+        fresh = F.struct(c["s"].alias("s"), c["e"].alias("e"), c["n"].alias("n"), F.lit(1).alias("m"), c["of"].alias("of"))
         o = a["open"]
-        grown = F.struct(c["k"].alias("k"), o["s"].alias("s"), c["e"].alias("e"), (o["n"] + c["n"]).alias("n"), (o["m"] + 1).alias("m"), o["of"].alias("of"))
-        joins = o.isNotNull() & (o["k"] + 1 == c["k"])
+        grown = F.struct(o["s"].alias("s"), c["e"].alias("e"), (o["n"] + c["n"]).alias("n"), (o["m"] + 1).alias("m"), o["of"].alias("of"))
+        joins = o.isNotNull() & (o["e"] == c["s"])
         closed = F.when(joins | o.isNull(), a["done"]).otherwise(F.concat(a["done"], F.filter(F.array(o), lambda x: x["n"] >= min_words)))
         return F.struct(closed.alias("done"), F.when(joins, grown).otherwise(fresh).alias("open"))
 
