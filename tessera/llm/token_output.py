@@ -18,6 +18,7 @@ lengths; u64 footer offset, u64 blocks, u64 documents, u64 tokens, "1RFP".
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -33,7 +34,7 @@ from tessera.runtime import Scratch, ship_package, shuffle_partitions
 BLOCK = 512
 PERCENTILE = 90.0
 FLUSH_TOKENS = 1 << 20
-MEMO_WORDS = 400_000
+MEMO_WORDS = 700_000
 TEXT_SLICE = 4 << 20
 
 _encoders: dict[str, "WordMemo"] = {}
@@ -59,34 +60,80 @@ class WordMemo:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes | None] = {}
-        self.marks = {c: self._ids([c])[0] for c in ".,"}
+        self.bare: dict[str, bytes] = {}
         self.special = [str(t.content)[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.break_ = self._ids(["\n"])[0]
+        self.letters = self._byte_letters()
+
+    def _byte_letters(self) -> dict[int, str] | None:
+        """How the pre-tokenizer shows each byte, if it is the byte-level one: a word is then the model's own input."""
+        try:
+            shown = {b: self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(b))[-1][0] for b in range(33, 127)}
+            seen = {b: c for b, c in shown.items() if len(c) == 1}
+            for c in range(0xC0, 0x180):  # letters of two bytes show the rest
+                pair = self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))[-1][0]
+                if len(pair) == 2:
+                    seen |= dict(zip(chr(c).encode(), pair))
+            seen[32] = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
+        except (AttributeError, IndexError):
+            return None
+        probe = [" déjà", " the", " Straße", "été"]
+        whole = [self.tokenizer.encode(p, add_special_tokens=False).ids for p in probe]
+        return seen if [[t.id for t in self.tokenizer.model.tokenize("".join(seen[b] for b in p.encode()))] for p in probe] == whole else None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(i)}I", *i) for i in (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
 
+    def _word(self, w: str) -> bytes | None:
+        """Ids of letters that the pre-tokenizer leaves whole; nothing if a byte's form isn't known."""
+        try:
+            shown = "".join([self.letters[b] for b in w.encode()])
+        except KeyError:
+            return None
+        ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _piece(self, u: str, table: dict[str, bytes], lead: str) -> bytes:
+        """Ids of a unit without line breaks: letters, then marks, or anything else whole."""
+        got = table.get(u)
+        if got is None:
+            head = u.rstrip(string.punctuation)
+            if head and head.isalpha() and self.letters is not None:
+                got = table.get(head) or self._word(lead + head)
+                if got is not None:
+                    table[head] = got
+                    if len(head) < len(u):
+                        tail = u[len(head) :]
+                        marks = self.bare.get(tail)
+                        if marks is None:
+                            marks = self.bare[tail] = self._ids([tail])[0]
+                        got += marks
+            if got is None:
+                got = self._ids([lead + u])[0]
+            table[u] = got
+        return got
+
     def _learn(self, units: set[str]) -> None:
-        memo, ask = self.memo, []
+        memo = self.memo
         for u in units:
             if not u or u[-1].isspace() or any(s in u for s in self.special):
                 memo[u] = None
-            elif len(u) > 2 and u[-1] in self.marks and u[-2].isalpha():
-                ask.append(u[:-1])
+            elif "\n" in u:
+                lines = u.split("\n")
+                if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                    first = memo.get(lines[0]) or self._piece(lines[0], memo, " ")
+                    memo[u] = first + b"".join([self.break_ + self._piece(x, self.bare, "") for x in lines[1:]])
+                else:
+                    memo[u] = self._ids([" " + u])[0]
             else:
-                ask.append(u)
-        ask = [u for u in dict.fromkeys(ask) if u not in memo]
-        for a in range(0, len(ask), 4096):
-            part = ask[a : a + 4096]
-            memo.update(zip(part, self._ids([" " + u for u in part])))
-        for u in units:
-            if u not in memo:
-                memo[u] = memo[u[:-1]] + self.marks[u[-1]]
+                self._piece(u, memo, " ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         parts = [t.split(" ") for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+        for table in (self.memo, self.bare):
+            if len(table) > MEMO_WORDS:
+                table.clear()
         new = set().union(*[p[1:] for p in parts]) - self.memo.keys()
         if new:
             self._learn(new)
@@ -145,18 +192,34 @@ def _pack_rows(rows: np.ndarray, percentile: float) -> list[bytes]:
     return out
 
 
-def unpack(data: bytes, offset: int, count: int) -> np.ndarray:
-    """The ``count`` ids of the block at ``offset``."""
-    low, w, n = struct.unpack_from("<IBH", data, offset)
-    a = offset + 7
-    size = (count * w + 7) // 8
-    rel = np.zeros(count, np.uint32)
-    if w:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, a), count=count * w, bitorder="little").reshape(count, w)
-        rel = np.packbits(np.pad(bits, ((0, 0), (0, 32 - w))), axis=1, bitorder="little").view("<u4").ravel().copy()
-    pos = np.frombuffer(data, "<u2", n, a + size)
-    rel[pos] = np.frombuffer(data, "<u4", n, a + size + 2 * n)
-    return rel + np.uint32(low)
+def unpack(data: bytes, offsets: list[int], counts: list[int]) -> np.ndarray:
+    """The ids of blocks at the offsets, one after the other."""
+    heads = [struct.unpack_from("<IBH", data, o) for o in offsets]
+    raw = np.frombuffer(data, np.uint8)
+    starts = np.cumsum([0, *counts]).tolist()
+    out = np.zeros(starts[-1], np.uint32)
+    kinds: dict[tuple[int, int], list[int]] = {}
+    for k, (h, n) in enumerate(zip(heads, counts)):
+        kinds.setdefault((h[1], n), []).append(k)
+    for (w, n), blocks in kinds.items():
+        size = (n * w + 7) // 8
+        for a in range(0, len(blocks), 256):
+            part = blocks[a : a + 256]
+            if w:
+                packed = raw[np.array([offsets[k] + 7 for k in part])[:, None] + np.arange(size)]
+                bits = np.unpackbits(packed, axis=1, count=n * w, bitorder="little").reshape(-1, w)
+                wide = np.zeros((len(bits), 32), np.uint8)
+                wide[:, :w] = bits
+                rel = np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(len(part), n)
+            else:
+                rel = np.zeros((len(part), n), np.uint32)
+            for r, k in zip(rel, part):
+                low, _, m = heads[k]
+                if m:
+                    e = offsets[k] + 7 + size
+                    r[np.frombuffer(data, "<u2", m, e)] = np.frombuffer(data, "<u4", m, e + 2 * m)
+                out[starts[k] : starts[k + 1]] = r + np.uint32(low)
+    return out
 
 
 class Writer:
@@ -216,9 +279,8 @@ def read_documents(source) -> Iterator[tuple[int | None, int, np.ndarray]]:
             take = min(n_blocks, b + max(256, -(-(n - have) // BLOCK)))
             source.seek(starts[b])
             data = source.read(starts[take] - starts[b])
-            for k in range(b, take):
-                parts.append(unpack(data, starts[k] - starts[b], min(BLOCK, tokens - k * BLOCK)))
-                have += len(parts[-1])
+            parts.append(unpack(data, [x - starts[b] for x in starts[b:take]], [min(BLOCK, tokens - k * BLOCK) for k in range(b, take)]))
+            have += len(parts[-1])
             b = take
         run = np.concatenate(parts) if len(parts) > 1 else held
         yield (i if has else None), first, run[:n]

@@ -17,8 +17,9 @@ TEXTS = ["", None, "a", " a  b", "x <|endoftext|> y", "one two.\nThree, four. \n
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=1400), st.integers(1, 99))
 def test_blocks_round_trip(ids, percentile):
     a = np.array(ids, np.uint32)
-    got = [T.unpack(b, 0, min(T.BLOCK, len(a) - n * T.BLOCK)) for n, b in enumerate(T.pack(a, percentile))]
-    assert np.array_equal(np.concatenate([np.zeros(0, np.uint32), *got]), a)
+    blocks = T.pack(a, percentile)
+    at = np.cumsum([0, *map(len, blocks)])[:-1].tolist()
+    assert np.array_equal(T.unpack(b"".join(blocks), at, [min(T.BLOCK, len(a) - n * T.BLOCK) for n in range(len(blocks))]), a)
 
 
 def test_file_round_trip(monkeypatch):
@@ -41,6 +42,7 @@ def test_memo_is_the_library():
     tok = Tokenizer.from_file(T.vocabulary())
     rnd = random.Random(2)
     texts = [t or "" for t in TEXTS] + ["".join(rnd.choice("ab .,\n\té1'") for _ in range(80)) for _ in range(300)]
+    texts += [" ".join(rnd.choice(["Straße", "été,", "x.\nYa", "WORD!!", "don't", "l'été.", "a###", "ñ\n\nb", "œuvre,", "Ελλ", "9th", "…", "e\u0301a", "ǅ", "ª"]) for _ in range(40)) for _ in range(100)]
     memo = T.WordMemo(T.vocabulary())
     for _ in range(2):
         for t, e in zip(texts, memo.encode(texts)):
