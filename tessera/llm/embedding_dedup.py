@@ -17,8 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.components import connected_components
 from tessera.runtime import Scratch, ship_package
@@ -32,9 +34,32 @@ SHARED = 2
 LIST_ROWS = 2048
 
 
+def unit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, v, label) -> (id, name, label, vec): unit vectors and the digest that names their class; null if unusable."""
+    for b in batches:
+        v, labels = b.column(1), b.column(2).to_pylist()
+        lengths = v.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        starts = np.cumsum(lengths) - lengths
+        names: list[str | None] = [None] * b.num_rows
+        vecs: list[np.ndarray | None] = [None] * b.num_rows
+        for d in np.unique(lengths[lengths > 0]):
+            at = np.flatnonzero(lengths == d)
+            x = flat[starts[at][:, None] + np.arange(d)]
+            # scaled by its largest component first, so that squares neither overflow nor vanish
+            with np.errstate(all="ignore"):
+                x = x / np.abs(x).max(axis=1, keepdims=True)
+                x = x / np.sqrt((x * x).sum(axis=1, keepdims=True)) + 0.0
+            for k, ok, u in zip(at.tolist(), np.isfinite(x).all(axis=1).tolist(), x):
+                if ok and labels[k] is not None:
+                    vecs[k] = u
+                    names[k] = xxhash.xxh3_128_hexdigest(u.tobytes() + labels[k].encode())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), b.column(2), pa.array(vecs, pa.list_(pa.float64()))], names=["id", "name", "label", "vec"])
+
+
 def choose_pivots(vectors: DataFrame, n: int, seed: int) -> np.ndarray:
     """``n`` unit vectors of the n distinct ones whose hash is lowest."""
-    rows = vectors.orderBy(F.xxhash64(F.lit(seed), "cls"), "cls").limit(n).select("vec").collect()
+    rows = vectors.orderBy(F.xxhash64(F.lit(seed), "name"), "name").limit(n).select("vec").collect()
     return np.array([r["vec"] for r in rows], dtype=np.float64)
 
 
@@ -111,19 +136,10 @@ def embedding_dedup(
     ship_package(spark)
     scratch = Scratch(spark, "embeddings")
     src = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"), F.col(f"`{label}`").cast("string").alias("label"))
-    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    size = F.array_max(F.transform("v", F.abs))
-    usable = F.coalesce(F.col("label").isNotNull() & ~bad & (size > 0), F.lit(False))
-    # scaled by its largest component first, so that squares neither overflow nor vanish
-    scaled = F.transform("v", lambda x: x / size)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))
-    src = src.select("id", "label", usable.alias("ok"), F.when(usable, scaled).alias("s"), F.when(usable, norm).alias("norm"))
-    src = src.select("id", "label", "ok", F.transform("s", lambda x: x / F.col("norm")).alias("vec"))
-    src = src.withColumn("cls", F.when(F.col("ok"), F.struct(F.xxhash64("label", "vec").alias("a"), F.xxhash64(F.lit(1), "vec", "label").alias("b"))))
-    rows = scratch.keep(src.select("id", "cls", "label", "vec"), "vectors")
-    classes = rows.where("cls is not null").groupBy("cls").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
-    # a class is named by its hash pair in one string, which components compare
-    classes = scratch.keep(classes.withColumn("name", F.concat(F.lpad(F.hex("cls.a"), 16, "0"), F.lpad(F.hex("cls.b"), 16, "0"))), "classes")
+    schema = vectors.select(F.col(f"`{id_col}`").alias("id")).schema.add("name", "string").add("label", "string").add("vec", T.ArrayType(T.DoubleType()))
+    rows = scratch.keep(src.mapInArrow(unit_vectors, schema), "vectors")
+    classes = rows.where("name is not null").groupBy("name").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
+    classes = scratch.keep(classes, "classes")
     dims = [r["d"] for r in classes.select(F.size("vec").alias("d")).distinct().limit(1000).collect()]
     found, links = [], []
     for d in dims:
@@ -178,10 +194,10 @@ def embedding_dedup(
         degrees, edges = degrees.union(a), edges.union(b)
     comp = connected_components(edges, scratch)
     degrees = degrees.groupBy(F.col("u").alias("name")).agg(F.sum("n").alias("n"))
-    linked = classes.select("cls", "name", "copies", "least").join(comp.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+    linked = classes.select("name", "copies", "least").join(comp.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels_ = linked.join(smallest, "root").join(degrees, "name", "left").select(F.col("cls").alias("c"), "component_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    labels_ = linked.join(smallest, "root").join(degrees, "name", "left").select(F.col("name").alias("c"), "component_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     labels_ = scratch.keep(labels_, "labels")
-    out = rows.select("id", "cls").join(labels_, F.col("cls") == F.col("c"), "left")
+    out = rows.select("id", "name").join(labels_, F.col("name") == F.col("c"), "left")
     component = F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
