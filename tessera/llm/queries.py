@@ -9,7 +9,7 @@ from tessera.runtime import read_table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_spans(read_table(spark, sf_dir, "documents"))
+    return substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

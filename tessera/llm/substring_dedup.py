@@ -8,6 +8,10 @@ loses less than two chunks at its ends, which bounds what a span may fall short
 
 Digests are counted with a partial aggregate before the shuffle, so a chunk that a third of all
 documents hold is one row per task; only rows of repeated digests go on to the ordering of places.
+
+``repeated_passages`` gives spans their real ends. Its anchors are shingles of words chosen by
+winnowing, so any two passages with ``min_words`` words in common share one; each is compared byte by
+byte, to both sides, with its first and with its last earlier place, and what is equal joins into spans.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.runtime import Scratch, ship_package
@@ -99,7 +103,7 @@ def chunk_documents(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per span that repeats earlier text: id, first_byte, last_byte (exclusive), n_words, n_chunks, first_id.
+    """A row per span of whole chunks that repeats earlier text: id, first_byte, last_byte (exclusive), n_words, n_chunks, first_id.
 
     first_id is the smallest id in which the span's first chunk stands before. Null and empty texts
     have no chunks. Rows without an id come after all others in the order of first places; rows that
@@ -134,3 +138,159 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
 
     spans = per_doc.select("id", F.explode(F.aggregate("cs", start, step, lambda a: F.concat(a["done"], F.filter(F.array(a["open"]), lambda x: x["n"] >= min_words)))).alias("x"))
     return spans.select(F.col("id").alias(id_col), F.col("x.s").cast("long").alias("first_byte"), F.col("x.e").cast("long").alias("last_byte"), F.col("x.n").cast("long").alias("n_words"), F.col("x.m").cast("long").alias("n_chunks"), F.col("x.of").alias("first_id"))
+
+
+_WIDE = np.array([int.from_bytes(hashlib.sha256(bytes([b])).digest()[4:12], "little") for b in range(256)], np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. n modulo 2 ** 64."""
+    p = _powers.get(base)
+    if p is None or len(p) <= n:
+        p = np.full(max(n + 1, 1 << 16), base, np.uint64)
+        p[0] = 1
+        p = _powers[base] = np.multiply.accumulate(p)
+    return p
+
+
+def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the words and the bytes after their last."""
+    a = np.frombuffer(data, np.uint8)
+    dark = np.zeros(len(a) + 2, np.int8)
+    dark[1:-1] = (a != 32) & ((a < 9) | (a > 13))
+    turn = np.diff(dark)
+    return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+
+
+def anchors(data: bytes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Digests of the chosen shingles, where they start and end, and how far a match must be followed to either side.
+
+    A shingle is three tenths of min_words words. Of any run of neighbouring ones the least digest is chosen, the
+    run so long that min_words - 1 whole words hold one; past that many words another anchor takes over.
+    """
+    k = max(1, min_words * 3 // 10)
+    w = max(1, min_words - k)
+    s, e = word_bounds(data)
+    if len(s) - k + 1 < w:
+        return (np.zeros(0, np.int64),) * 5
+    a = np.frombuffer(data, np.uint8)
+    total = np.zeros(len(a) + 1, np.uint64)
+    np.cumsum(_WIDE[a] * _power(_BASE, len(a))[: len(a)], out=total[1:])
+    b, t = s[: len(s) - k + 1], e[k - 1 :]
+    h = (total[t] - total[b]) * _power(_INVERSE, len(a))[b]
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) & np.uint64((1 << 63) - 1)
+    view = np.lib.stride_tricks.sliding_window_view(h, w)[:, ::-1]
+    at = np.unique(w - 1 - view.argmin(axis=1) + np.arange(len(view)))
+    left = np.where(at > w, s[np.maximum(at - w - 1, 0)], 0)
+    last = at + k + w
+    right = np.where(last < len(e), e[np.minimum(last, len(e) - 1)], len(a))
+    return h[at].astype(np.int64), b[at], t[at], left, right
+
+
+def passages(data: bytes, runs: list[tuple], min_words: int) -> list[tuple[int, int, int, int, int | None]]:
+    """Spans (first byte, last byte, words, anchors, first id) of a text, given slices of earlier text shifted onto it.
+
+    A run is (its slice's place in the text, the slice, its source's id, the anchors on it as start << 32 | length).
+    """
+    a = np.frombuffer(data, np.uint8)
+    found, held = set(), set()
+    for lo, piece, of, at in runs:
+        y = a[lo : lo + len(piece)]
+        n = len(y)
+        # equal bytes run between places that differ
+        apart = np.concatenate(([-1], np.flatnonzero(np.frombuffer(piece, np.uint8)[:n] != y), [n]))
+        s = (at >> 32) - lo
+        i = np.searchsorted(apart, s, "right")
+        begin, end = apart[i - 1] + 1, apart[np.minimum(i, len(apart) - 1)]
+        ok = (end >= s + (at & 0xFFFFFFFF)) & (begin <= s)
+        found.update((x + lo, y + lo, of) for x, y in zip(begin[ok].tolist(), end[ok].tolist()))
+        held.update((s[ok] + lo).tolist())
+    if not found:
+        return []
+    found = sorted(found, key=lambda f: (f[0], f[2] is None, f[2] or 0, f[1]))
+    joined = [list(found[0])]
+    for s, e, of in found[1:]:
+        if s <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], e)
+        else:
+            joined.append([s, e, of])
+    words, at = word_bounds(data)[0], np.array(sorted(held))
+    out = []
+    for s, e, of in joined:
+        n = int(np.searchsorted(words, e) - np.searchsorted(words, s))
+        if n >= min_words or (s == 0 and e == len(a)):
+            out.append((s, e, n, int(np.searchsorted(at, e) - np.searchsorted(at, s)), of))
+    return out
+
+
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row per span that repeats earlier text: id, first_byte, last_byte (exclusive), n_words, n_chunks, first_id.
+
+    Spans run from the first equal byte to the last, hold min_words words (counted by their first bytes) or are
+    a whole text, whatever its length. n_chunks counts the anchors in the span; first_id is the smallest id the
+    span's beginning was found in. Ids that are null or repeat are treated as in ``repeated_spans``.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("t"))
+    low = (1 << 63) - 1
+    # the text's own key, from its bytes alone, so that both sides of later joins agree
+    keyed = rows.select("id", F.xxhash64("t").bitwiseAND(F.lit(low)).alias("key"), "t")
+    # an anchor: its start and length in one number, how far to follow it left and right in another
+    place = "array<struct<digest:bigint,at:bigint,room:bigint>>"
+    kind = pa.struct([("digest", pa.int64()), ("at", pa.int64()), ("room", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts, ends = [[np.zeros(0, np.int64)] * 5], [0]
+            for key, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                found = anchors(data, min_words)
+                if data:  # the whole text is an anchor too
+                    found = [np.append(f, v) for f, v in zip(found, (key, 0, len(data), 0, len(data)))]
+                parts.append(found)
+                ends.append(ends[-1] + len(found[0]))
+            h, s, e, left, right = (np.concatenate([p[c] for p in parts]).astype(np.int64) for c in range(5))
+            flat = pa.StructArray.from_arrays([pa.array(h), pa.array(s << 32 | (e - s)), pa.array((s - left) << 32 | (right - e))], fields=list(kind))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["id", "key", "places"])
+
+    # one shuffle brings an anchor's places together; anchors of one place end there
+    flat = keyed.mapInArrow(run, f"id long, key long, places {place}").select("id", "key", F.inline("places"))
+    own = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("doc"), F.col("key"), F.shiftright("at", 32).alias("start"))
+    order = Window.partitionBy("digest").orderBy(F.col("id").isNull(), F.coalesce("id", "key"), "key", "at")
+    ranked = flat.select(own.alias("own"), "at", "room", F.first(own).over(order).alias("first"), F.lag(own).over(order).alias("before")).where("before is not null")
+    # a repeated row's place may stand before itself
+    earlier = F.array_distinct(F.filter(F.array("first", "before"), lambda x: x != F.col("own")))
+    pairs = ranked.select("own", "at", "room", F.explode(earlier).alias("x"))
+    s, size = F.shiftright("at", 32), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))
+    lo, hi = s - F.shiftright("room", 32), s + size + F.col("room").bitwiseAND(F.lit(0xFFFFFFFF))
+    of = [F.col("x.none").alias("xnone"), F.col("x.doc").alias("xdoc"), F.col("x.key").alias("xkey")]
+    pairs = pairs.select("own.none", "own.doc", "own.key", *of, (F.col("x.start") - s).alias("d"), "at", lo.alias("lo"), hi.alias("hi"))
+    # anchors at one distance share a slice, which starts where both texts have bytes
+    lines = pairs.repartition("xnone", "xdoc", "xkey").groupBy("none", "doc", "key", "xnone", "xdoc", "xkey", "d").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("at").alias("anchors"))
+    lines = lines.withColumn("lo", F.greatest("lo", -F.col("d")))
+    texts = keyed.select(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("doc"), "key", "t")
+    sources = texts.select(F.col("none").alias("xnone"), F.col("doc").alias("xdoc"), F.col("key").alias("xkey"), "t")
+    cut = F.substring("t", (F.col("lo") + F.col("d") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
+    one = F.struct(F.col("lo"), cut.alias("slice"), F.when(~F.col("xnone"), F.col("xdoc")).alias("of"), F.col("anchors"))
+    sliced = lines.join(sources, ["xnone", "xdoc", "xkey"]).select("none", "doc", "key", one.alias("run"))
+    runs = sliced.groupBy("none", "doc", "key").agg(F.collect_list("run").alias("runs"))
+    both = runs.join(texts, ["none", "doc", "key"]).select("none", "doc", "key", "t", "runs")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out, lists = [], b.column(4)
+            offsets, flat = lists.offsets.to_pylist(), lists.values
+            lo, slices, of, held = flat.field("lo").to_numpy(), flat.field("slice"), flat.field("of").to_pylist(), flat.field("anchors")
+            begin, at = held.offsets.to_numpy(), held.values.to_numpy()
+            for i, (none, doc, key, data) in enumerate(zip(*(b.column(c).to_pylist() for c in range(4)))):
+                rs = [(int(lo[j]), slices[j].as_py(), of[j], at[begin[j] : begin[j + 1]]) for j in range(offsets[i], offsets[i + 1])]
+                out += [(None if none else doc, key, *x) for x in passages(data, rs, min_words)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(7)], names=["id", "key", "first_byte", "last_byte", "n_words", "n_chunks", "first_id"])
+
+    # rows that repeat an id and text give their spans once
+    spans = both.mapInArrow(compare, "id long, key long, first_byte long, last_byte long, n_words long, n_chunks long, first_id long").distinct()
+    return spans.select(F.col("id").alias(id_col), "first_byte", "last_byte", "n_words", "n_chunks", "first_id")

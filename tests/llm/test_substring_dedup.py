@@ -64,3 +64,33 @@ def test_spans_against_brute_force(spark):
 
 def test_empty(spark):
     assert S.repeated_spans(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_passages_have_their_real_ends(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(2, 12)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], set()
+    for i in range(300):
+        p = text(rnd.choice([20, 25, 51]))
+        head, tail = "Q " + text(rnd.randrange(1, 60)) + " X", "Y " + text(rnd.randrange(1, 60))
+        rows += [(2 * i, f"{text(40)} V{p}W {text(30)}"), (2 * i + 1, f"{head}{p}{tail}")]
+        # the first word hangs on a letter that differs
+        if len(p.split()) > 20:
+            want.add((2 * i + 1, len(head), len(head) + len(p), len(p.split()), 2 * i))
+    rows += [(9000, "few words here"), (9001, "few words here"), (9002, "few words here too"), (9003, ""), (9004, ""), (9005, None)]
+    rows += [(None, "without an id"), (None, "without an id"), (9001, "few words here"), (9006, "without an id")]
+    got = [tuple(r) for r in S.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    spans = {(g[0], g[1], g[2], g[5]) for g in got}
+    assert len(spans) == len(got)
+    assert {(i, s, e, f) for i, s, e, _, f in want} <= spans
+    assert (9001, 0, 14, 9000) in spans and (None, 0, 13, 9006) in spans
+    assert all(i is None or i in (9001,) or i % 2 for i, *_ in spans) and len(spans) <= 302
+
+
+def test_passages_within_a_text_and_empty(spark):
+    rnd = random.Random(4)
+    p = " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(30))
+    got = S.repeated_passages(spark.createDataFrame([(1, f"A {p} B {p} C")], "doc_id long, text string")).collect()
+    assert [(r.first_byte, r.last_byte, r.n_words, r.first_id) for r in got] == [(len(p) + 4, 2 * len(p) + 6, 30, 1)]
+    assert S.repeated_passages(spark.createDataFrame([], "doc_id long, text string")).collect() == []
