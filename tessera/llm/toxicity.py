@@ -35,6 +35,8 @@ LEET = {"0": {"o": 0.9}, "1": {"i": 0.6, "l": 0.3}, "2": {"z": 0.5}, "3": {"e":
 SAMPLE_ROWS = 12_000
 PREFIXES = (4, 5, 6)
 MEMO_WORDS = 200_000
+#: Spelled-out runs are read in overlapping parts, so a word of half this length at most is whole in one.
+PART = 40
 BEAM = 24
 
 _IMITATES = re.escape("".join(c for c in LEET if not c.isdigit()))
@@ -44,15 +46,6 @@ _MIXED = re.compile(rf"(?=[0-9{_IMITATES}]*{_WORD}*?[^\W\d_])(?:{_WORD}|[{_IMITA
 _SUSPECT = re.compile(rf"(?:[^\W\d_][0-9{_IMITATES}]|[0-9{_IMITATES}][^\W\d_])|([^\W\d_])\1\1")
 _LETTER = r"(?:[^\W_]|[@$!|+])"
 _SPELLED = re.compile(rf"(?<![^\W_]){_LETTER}([ .\-_*~/,]){_LETTER}(?:\1{_LETTER})+(?![^\W_])")
-_WORDS = 200_000
-BEAM = 24
-
-_IMITATES = re.escape("".join(c for c in LEET if not c.isdigit()))
-_WORD = rf"[^\W_]"
-#: letters and imitations in one piece, with at least one of each; a run of three; letters spelled out.
-_MIXED = re.compile(rf"(?=[0-9{_IMITATES}]*{_WORD}*?[^\W\d_])(?:{_WORD}|[{_IMITATES}])+")
-_SUSPECT = re.compile(rf"(?:[^\W\d_][0-9{_IMITATES}]|[0-9{_IMITATES}][^\W\d_])|([^\W\d_])\1\1")
-_SPELLED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:([ .\-_*~/,])(?:[^\W_]|[@$!|+])){2,}(?![^\W_])")
 _WORDS = re.compile(r"[^\W_]+")
 
 _memos: dict[bytes, dict[str, str]] = {}
@@ -126,8 +119,11 @@ def _symbol(c: str) -> int:
     return int(_TABLE[o]) if o < 256 else (28 if c.isalpha() else 0)
 
 
-def decode(piece: str, lm: np.ndarray) -> str:
-    """Viterbi over the piece's lattice; states are the last three characters of the restored word."""
+def decode(piece: str, lm: np.ndarray, several: bool = False) -> str:
+    """Viterbi over the piece's lattice; states are the last three characters of the restored word.
+
+    With ``several``, a word may end after any character and the next one begin.
+    """
     runs: list[tuple[str, int]] = []
     for c in piece.lower():
         if runs and runs[-1][0] == c:
@@ -153,6 +149,11 @@ def decode(piece: str, lm: np.ndarray) -> str:
                         key = (key[1], key[2], s)
                     if key not in grown or t > grown[key][0]:
                         grown[key] = (t, word + x * m)
+        if several:
+            for (a, b, d), (score, word) in list(grown.items()):
+                t, key = score + float(lm[((a * SYMBOLS + b) * SYMBOLS + d) * SYMBOLS]), (b, d, 0)
+                if d and (key not in grown or t > grown[key][0]):
+                    grown[key] = (t, word + " ")
         states = dict(sorted(grown.items(), key=lambda kv: (-kv[1][0], kv[1][1]))[:BEAM])
     best = max(states.items(), key=lambda kv: (kv[1][0] + float(lm[((kv[0][0] * SYMBOLS + kv[0][1]) * SYMBOLS + kv[0][2]) * SYMBOLS]), kv[1][1]))
     return best[1][1]
@@ -180,15 +181,26 @@ class Restorer:
             self.memo[piece] = w
         return w
 
+    def spelled(self, letters: str) -> str:
+        """Where one spelled word ends and the next begins isn't written: every cut is tried, and the model's own."""
+        key = f" {letters}"
+        w = self.memo.get(key)
+        if w is None:
+            x = self.word(letters)
+            w = " ".join([x, *[f"{x[:k]} {x[k:]}" for k in range(1, len(x))], decode(letters, self.lm, True)])
+            self.memo[key] = w
+        return w
+
     def extra(self, text: str) -> list[str]:
         """Restored words of the text's suspicious pieces."""
         out = []
-        for m in _SPELLED.finditer(text):
+        m = _SPELLED.search(text)
+        while m:
             letters = m.group()[::2]
-            if len(letters) <= 40:
-                w = self.word(letters)
-                # where one spelled word ends and the next begins isn't written: every cut is tried
-                out.append(" ".join([w, *[f"{w[:k]} {w[k:]}" for k in range(3, len(w) - 2)], w[1:], w[:-1]]))
+            for a in range(0, max(len(letters) - PART // 2, 1), PART // 2):
+                out.append(self.spelled(letters[a : a + PART]))
+            # the last letter may be the first of a run with another separator
+            m = _SPELLED.search(text, m.end() - 1)
         if _SUSPECT.search(text):
             for m in _MIXED.finditer(text):
                 if _SUSPECT.search(m.group()):

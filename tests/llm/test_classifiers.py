@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from tessera.llm import quality as Q
 from tessera.llm import toxicity as T
@@ -71,3 +72,23 @@ def test_toxicity(spark):
     assert all(r.predicted == 1 for r in got if r.doc_id in (9100, 9101))
     assert {r.score for r in T.toxicity_scores(df, spark.createDataFrame([], LABEL)).collect()} == {0.0}
     assert T.toxicity_scores(spark.createDataFrame([], DOC), lab).collect() == []
+
+
+def model_of(text):
+    s = np.concatenate([np.zeros(3, np.int64), T.symbols(text), np.zeros(3, np.int64)])
+    n = np.zeros(T.SPACE)
+    np.add.at(n, ((s[:-3] * T.SYMBOLS + s[1:-2]) * T.SYMBOLS + s[2:-1]) * T.SYMBOLS + s[3:], 1)
+    codes = np.flatnonzero(n)
+    counts = pa.table({"code": codes, "n": n[codes]})
+    return T.language_model(type("Counts", (), {"toArrow": lambda self: counts})())
+
+
+def test_spelled_runs_of_any_length():
+    words = "you are all such grumbus people and nobody wants vextor here today my friend".split()
+    r = T.Restorer(model_of(" ".join(words) * 200))
+    run = " ".join("".join(words))
+    assert len(run) > 80
+    assert {"grumbus", "vextor"} <= r.words(run)
+    # glued letters before it, and a run with another separator after
+    assert {"vextor", "grumbus"} <= r.words("my v e x t o r g.r.u.m.b.u.s") and "vextor" in r.words("a n v e x t o r")
+    assert r.words("z " * 30_000) >= {"z"}
