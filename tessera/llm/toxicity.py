@@ -37,7 +37,6 @@ PREFIXES = (4, 5, 6)
 MEMO_WORDS = 200_000
 #: Spelled-out runs are read in overlapping parts, so a word of half this length at most is whole in one.
 PART = 40
-BEAM = 24
 
 _IMITATES = re.escape("".join(c for c in LEET if not c.isdigit()))
 _WORD = rf"[^\W_]"
@@ -119,7 +118,7 @@ def _symbol(c: str) -> int:
     return int(_TABLE[o]) if o < 256 else (28 if c.isalpha() else 0)
 
 
-def decode(piece: str, lm: np.ndarray, several: bool = False) -> str:
+def decode(piece: str, lm: list[float], several: bool = False) -> str:
     """Viterbi over the piece's lattice; states are the last three characters of the restored word.
 
     With ``several``, a word may end after any character and the next one begin.
@@ -130,44 +129,48 @@ def decode(piece: str, lm: np.ndarray, several: bool = False) -> str:
             runs[-1] = (c, runs[-1][1] + 1)
         else:
             runs.append((c, 1))
-    states: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
+    # a state is a number; its path is a chain of pieces, so that long ones cost no copies
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    low = SYMBOLS**3
     for c, n in runs:
-        options = [(x, np.log(p)) for x, p in LEET.get(c, {}).items()]
-        own = 1 - sum(LEET.get(c, {}).values())
-        options.append((c, float(np.log(max(own, 1e-3)))))
-        grown: dict[tuple[int, int, int], tuple[float, str]] = {}
-        for x, cost in options:
-            lengths = (1,) if n == 1 else (1, 2) if n > 2 else (2, 1)
-            s = _symbol(x)
-            for m in lengths:
+        options = _OPTIONS.get(c) or ((c, 0.0, _symbol(c)),)
+        grown: dict[int, tuple[float, tuple | None]] = {}
+        for x, cost, s in options:
+            for m in (1,) if n == 1 else (1, 2) if n > 2 else (2, 1):
                 price = cost * n + (0.0 if m == n else -3.0 if n == 2 else -0.7 * m)
-                for (a, b, d), (score, word) in states.items():
+                for key, (score, path) in states.items():
                     t = score + price
-                    key = (a, b, d)
                     for _ in range(m):
-                        t += float(lm[((key[0] * SYMBOLS + key[1]) * SYMBOLS + key[2]) * SYMBOLS + s])
-                        key = (key[1], key[2], s)
-                    if key not in grown or t > grown[key][0]:
-                        grown[key] = (t, word + x * m)
+                        key = key * SYMBOLS + s
+                        t += lm[key]
+                        key %= low
+                    had = grown.get(key)
+                    if had is None or t > had[0]:
+                        grown[key] = (t, (path, x * m))
         if several:
-            for (a, b, d), (score, word) in list(grown.items()):
-                t, key = score + float(lm[((a * SYMBOLS + b) * SYMBOLS + d) * SYMBOLS]), (b, d, 0)
-                if d and (key not in grown or t > grown[key][0]):
-                    grown[key] = (t, word + " ")
-        states = dict(sorted(grown.items(), key=lambda kv: (-kv[1][0], kv[1][1]))[:BEAM])
-    best = max(states.items(), key=lambda kv: (kv[1][0] + float(lm[((kv[0][0] * SYMBOLS + kv[0][1]) * SYMBOLS + kv[0][2]) * SYMBOLS]), kv[1][1]))
-    return best[1][1]
+            for key, (score, path) in list(grown.items()):
+                t, to = score + lm[key * SYMBOLS], key * SYMBOLS % low
+                if key % SYMBOLS and (to not in grown or t > grown[to][0]):
+                    grown[to] = (t, (path, " "))
+        states = grown
+    path = max(states.items(), key=lambda kv: (kv[1][0] + lm[kv[0] * SYMBOLS], -kv[0]))[1][1]
+    out = []
+    while path is not None:
+        path, x = path
+        out.append(x)
+    return "".join(reversed(out))
+
+
+_OPTIONS = {c: tuple((x, float(np.log(p)), _symbol(x)) for x, p in [*stands.items(), (c, max(1 - sum(stands.values()), 1e-3))]) for c, stands in LEET.items()}
 
 
 class Restorer:
     def __init__(self, lm: np.ndarray):
-        self.lm = lm
+        self.lm = lm.tolist()
         mark = lm[::997].tobytes()
         self.memo = _memos.setdefault(mark, {})
 
     def word(self, piece: str) -> str:
-        if len(piece) > 40 or sum(c.isdigit() for c in piece) > len(piece) * 0.6:
-            return piece
         w = self.memo.get(piece)
         if w is None:
             if len(self.memo) > MEMO_WORDS:

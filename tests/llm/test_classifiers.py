@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -92,3 +93,22 @@ def test_spelled_runs_of_any_length():
     # glued letters before it, and a run with another separator after
     assert {"vextor", "grumbus"} <= r.words("my v e x t o r g.r.u.m.b.u.s") and "vextor" in r.words("a n v e x t o r")
     assert r.words("z " * 30_000) >= {"z"}
+
+
+def test_heavy_leet_and_drawn_out_words():
+    r = T.Restorer(model_of(" ".join(["what an asshole he is", "that idiot should read it", "grumbus and vextor are rude"] * 200)))
+    assert "asshole" in r.words("4 455h0l3 here") and "idiot" in r.words("an 1d107 he") and "vextor" in r.words("v3x70r")
+    assert "grumbus" in r.words("gr" + "u" * 50 + "mbu5") and "vextor" in r.words("v" * 30 + "e" * 30 + "xtor")
+    # every state is kept: as good as trying each reading
+    lm = r.lm
+    for piece in ("1*8*!|*", "*!*1*|"):
+        best = max(itertools.product(*[T._OPTIONS[c] for c in piece]), key=lambda p: score_of(p, lm))
+        assert T.decode(piece, lm) == "".join(x for x, _, _ in best)
+
+
+def score_of(path, lm):
+    t, key = 0.0, 0
+    for _, cost, s in path:
+        key = key * T.SYMBOLS + s
+        t, key = t + cost + lm[key], key % T.SYMBOLS**3
+    return t + lm[key * T.SYMBOLS]
