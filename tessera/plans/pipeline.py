@@ -87,7 +87,8 @@ def docx_source(spark: SparkSession, spec: dict[str, Any]) -> DataFrame:
     if not spec.get("file_path"):
         raise ValueError("a docx source needs file_path")
     rule = spec.get("chunking") or {}
-    return docx.read_chunks(spark, spec["file_path"], int(rule.get("max_tokens", 4000)), int(rule.get("overlap_tokens", 200)), spec.get("image_mode", "metadata_only"))
+    elements = docx.read_reported(spark, spec["file_path"], spec.get("image_mode", "metadata_only"))
+    return S.chunk_sections(S.build_sections(elements), int(rule.get("max_tokens", 4000)), int(rule.get("overlap_tokens", 200)))
 
 
 def model_transform(spark: SparkSession, tables: dict[str, DataFrame], spec: dict[str, Any]) -> dict[str, DataFrame]:
@@ -163,7 +164,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "sync":
         return 0 if check_drift(config, args.folder, args.check) else 1
     spark = SparkSession.builder.getOrCreate()
-    results, merged = extract_documents(spark, docx.read_elements(spark, args.docx), config, provider_of(config), max_chunks=args.max_chunks)
+    results, merged = extract_documents(spark, docx.read_reported(spark, args.docx), config, provider_of(config), max_chunks=args.max_chunks)
     sinks.write(merged, "json", f"{args.output_dir}/all_info_{sinks.stamp()}")
     sinks.write_json(results, args.output_dir)
     s = run_summary(results.select(F.col("is_structured").alias("ok"), F.col("confidence_score").alias("confidence"), "latency_ms")).first()

@@ -7,6 +7,7 @@ Rows whose bytes are no document come back with an error and no elements.
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tessera.operators.sections import IMAGE, build_sections, chunk_sections, table_markdown
-from tessera.runtime import ship_package
+from tessera.runtime import Scratch, ship_package
 
 #: Namespaces of the file format, and the styles that open a section.
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -89,8 +90,8 @@ _ARROW = pa.struct([("ord", pa.int32()), ("kind", pa.string()), ("style_heading"
                     ("images", pa.list_(pa.struct([("image_ref", pa.string()), ("page_estimate", pa.int32()), ("mode", pa.string())])))])
 
 
-def parse_files(files: DataFrame, mode: str = "metadata_only", max_bytes: int = 64 << 20) -> DataFrame:
-    """files(path, content) -> doc, error, elements (array); one Python pass, a file at a time."""
+def parse_files(files: DataFrame, mode: str = "metadata_only", max_bytes: int | None = None) -> DataFrame:
+    """files(path, content) -> doc, error, elements (array); one Python pass, a file at a time, of any size unless max_bytes is set."""
     if mode not in MODES:
         raise ValueError(f"image_mode is one of {MODES}")
     ship_package(files.sparkSession)
@@ -102,7 +103,7 @@ def parse_files(files: DataFrame, mode: str = "metadata_only", max_bytes: int =
                 data = data.as_py()
                 if not data:
                     error = "empty body"
-                elif len(data) > max_bytes:
+                elif max_bytes is not None and len(data) > max_bytes:
                     error = f"larger than {max_bytes} bytes"
                 else:
                     try:
@@ -120,10 +121,23 @@ def elements_of(parsed: DataFrame) -> DataFrame:
     return e.withColumn("text", F.when(F.col("kind") == "tbl", table_markdown(F.col("cells"))).otherwise(F.col("text"))).drop("cells")
 
 
-def read_elements(spark: SparkSession, path: str, mode: str = "metadata_only", max_bytes: int = 64 << 20) -> DataFrame:
-    """Elements of every .docx file under a path."""
+def read_parsed(spark: SparkSession, path: str, mode: str = "metadata_only", max_bytes: int | None = None) -> DataFrame:
+    """doc, error, elements of every .docx file under a path."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option("recursiveFileLookup", "true").load(path)
-    return elements_of(parse_files(files, mode, max_bytes))
+    return parse_files(files, mode, max_bytes)
+
+
+def read_reported(spark: SparkSession, path: str, mode: str = "metadata_only") -> DataFrame:
+    """Elements as ``read_elements`` gives them; each file that could not be read is named on standard error."""
+    parsed = Scratch(spark, "documents").keep(read_parsed(spark, path, mode), "parsed")
+    for r in parsed.where("error is not null").select("doc", "error").toLocalIterator():
+        print(f"NOT READ {r['doc']}: {r['error']}", file=sys.stderr)
+    return elements_of(parsed)
+
+
+def read_elements(spark: SparkSession, path: str, mode: str = "metadata_only", max_bytes: int | None = None) -> DataFrame:
+    """Elements of every .docx file under a path; files with errors have none, ``read_parsed`` names them."""
+    return elements_of(read_parsed(spark, path, mode, max_bytes))
 
 
 def read_chunks(spark: SparkSession, path: str, max_tokens: int = 4000, overlap_tokens: int = 200, mode: str = "metadata_only") -> DataFrame:

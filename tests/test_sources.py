@@ -65,6 +65,19 @@ def test_docx(spark, tmp_path):
         docx.parse_files(files, "other")
 
 
+def test_docx_of_any_size(spark, tmp_path, capsys):
+    big = io.BytesIO(SAMPLE)
+    with zipfile.ZipFile(big, "a") as z:
+        z.writestr("word/media/image1.png", bytes(65 << 20))
+    (tmp_path / "big.docx").write_bytes(big.getvalue())
+    assert len(big.getvalue()) > 64 << 20
+    assert docx.read_elements(spark, str(tmp_path)).count() == 9 and docx.read_chunks(spark, str(tmp_path)).count() == 3
+    (tmp_path / "bad.docx").write_bytes(b"no zip")
+    assert P.docx_source(spark, {"file_path": str(tmp_path)}).count() == 3
+    told = capsys.readouterr().err
+    assert "bad.docx" in told and "BadZip" in told and "big.docx" not in told
+
+
 def test_html_and_text(spark):
     page = "<html><script>var t='<p>no</p>'</script><h1>Top &amp; more</h1><p class=x>one <b>two</b></p><ul><li>item</li></ul><h2>Next</h2><p>&lt;x&gt;</p>"
     e = tables.html_elements(spark.createDataFrame([(1, page), (2, None)], "id int, html string"), F.col("id"), "html").orderBy("ord").collect()
