@@ -1,17 +1,17 @@
 """Substring dedup by content-defined chunks under a gear rolling hash.
 
-A text's bytes are cut where the gear hash of the last sixteen bytes has its mask bits zero, so
-cuts depend on content alone and come back in step after an insertion. Chunks are deduplicated by
-digest: the first, by document id and place, is kept, later ones are repeats. Neighbouring repeats
-join into spans; spans of ``min_words`` words at least are reported and can be cut out. A passage
-loses less than two chunks at its ends, which bounds what a span may fall short of the passage.
-
-Digests are counted with a partial aggregate before the shuffle, so a chunk that a third of all
-documents hold is one row per task; only rows of repeated digests go on to the ordering of places.
-
-``repeated_passages`` gives spans their real ends. Its anchors are shingles of words chosen by
-winnowing, so any two passages with ``min_words`` words in common share one; each is compared byte by
-byte, to both sides, with its first and with its last earlier place, and what is equal joins into spans.
+A text's bytes are cut where the gear hash of the last sixteen bytes is the least within ``REACH``
+bytes to either side, so a cut depends on its surroundings alone: two texts that share a passage have
+the same cuts in it but for its edges, whatever was inserted before. A stretch without such a place
+is cut every ``MAX_CHUNK`` bytes. Chunks are deduplicated by digest: the first, by document id and
+place, is kept, later ones are repeats.
+
+A repeated chunk is then compared byte by byte with its first place, to both sides, so digests only
+propose: bytes decide, and a span has its real ends, wherever the cuts fell.
+
+Digests are counted with a partial aggregate before the shuffle; only rows of repeated digests go on
+to the ordering of places. Digests that very many chunks share are few (at most ``HEAVY_DIGESTS``),
+so they are joined by broadcast and never meet in one task; lighter ones are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -22,13 +22,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.runtime import Scratch, ship_package
 
-MIN_CHUNK, MEAN_CHUNK, MAX_CHUNK = 24, 32, 192
-MIN_WORDS = 20
+REACH, MAX_CHUNK = 28, 1024
+MIN_WORDS = 50
+#: A digest is heavy from this many chunks, or from its share of all of them, so heavy ones are at most so many.
+HEAVY_ROWS, HEAVY_DIGESTS = 2000, 50_000
+#: Bytes beyond its outermost repeated chunks to which a passage is followed.
+ROOM = 2 * MAX_CHUNK
 
 
 def _gear() -> np.ndarray:
@@ -36,8 +40,8 @@ def _gear() -> np.ndarray:
 
 
 _GEAR = _gear()
-#: Bits 11 to 15 of the hash, which the last sixteen bytes decide; one place in MEAN_CHUNK has them zero.
-_MASK = np.uint32((MEAN_CHUNK - 1) << 11)
+#: An odd factor that lets all bits of the hash decide which is least.
+_SPREAD = np.uint32(0x9E3779B1)
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
@@ -49,154 +53,111 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _least_of_next(x: np.ndarray, n: int) -> np.ndarray:
+    """Minimum of x[i + 1 .. i + n], by doubling; past the end nothing counts."""
+    top = np.iinfo(x.dtype).max
+    m = np.append(x[1:], top)
+    size = 1
+    while size < n:
+        step = min(size, n - size)
+        m = np.minimum(m, np.concatenate((m[step:], np.full(min(step, len(m)), top, x.dtype))))
+        size += step
+    return m
+
+
 def cuts(data: bytes) -> list[int]:
     """Ends of the chunks; the last is the length."""
     a = np.frombuffer(data, np.uint8)
     n = len(a)
     if not n:
         return []
-    marks = (np.flatnonzero(gear_hash(a) & _MASK == 0) + 1).tolist()
-    out, start = [], 0
-    for m in marks:
-        if m - start < MIN_CHUNK:
-            continue
-        while m - start > MAX_CHUNK:
-            start += MAX_CHUNK
-            out.append(start)
-        if m - start >= MIN_CHUNK:
-            out.append(m)
-            start = m
-    while n - start > MAX_CHUNK:
-        start += MAX_CHUNK
-        out.append(start)
-    if start < n:
-        out.append(n)
-    return out
-
-
-def chunk_documents(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, key, starts, sizes, words, digests): a row per document row, arrays by chunk; words start in the chunk."""
+    h = gear_hash(a) * _SPREAD
+    # strictly less than what precedes, so of equal ones within reach none but the first can be a cut
+    least = (h <= _least_of_next(h, REACH)) & (h < _least_of_next(h[::-1], REACH)[::-1])
+    marks = np.flatnonzero(least) + 1
+    ends = marks.tolist()
+    if not ends or ends[-1] != n:
+        ends.append(n)
+    if n > MAX_CHUNK and np.diff(ends, prepend=0).max() > MAX_CHUNK:
+        out, start = [], 0
+        for e in ends:
+            out += range(start + MAX_CHUNK, e, MAX_CHUNK)
+            out.append(e)
+            start = e
+        ends = out
+    return ends
+
+
+def _word_starts(data: bytes) -> np.ndarray:
+    """First bytes of the words, which white space separates."""
+    a = np.frombuffer(data, np.uint8)
+    dark = (a != 32) & ((a < 9) | (a > 13))
+    return np.flatnonzero(dark & ~np.concatenate(([False], dark[:-1]))) if len(a) else np.zeros(0, np.int64)
+
+
+def chunk_documents(docs: DataFrame, id_col: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, key, at, digests): a row per document row, arrays by chunk; at holds start << 32 | length.
+
+    A text of fewer than min_words words and several chunks has one more entry, the whole of it.
+    """
     ship_package(docs.sparkSession)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+    rows = keyed(docs, id_col, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, low = xxhash.xxh3_64_intdigest, (1 << 63) - 1
         for b in batches:
-            keys, starts, words, digests = [], [], [], []
-            for t in b.column(1).to_pylist():
-                data = t.encode("utf-8", "surrogatepass")
+            places, digests = [], []
+            for data in b.column(2).to_pylist():
                 ends = cuts(data)
                 begin = [0, *ends[:-1]] if ends else []
-                a = np.frombuffer(data, np.uint8)
-                space = (a == 32) | ((a >= 9) & (a <= 13))
-                first = ~space & np.concatenate(([True], space[:-1])) if len(a) else space
-                total = np.concatenate(([0], np.cumsum(first)))
-                keys.append(digest(data) & low)
-                starts.append(np.array([*begin, len(data)], np.int32))
-                words.append(np.diff(total[[*begin, len(data)]]).astype(np.int32))
-                digests.append(np.array([digest(data[s:e]) & low for s, e in zip(begin, ends)], np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(keys, pa.int64()), pa.array(starts, pa.list_(pa.int32())), pa.array(words, pa.list_(pa.int32())), pa.array(digests, pa.list_(pa.int64()))], names=["id", "key", "starts", "words", "digests"]
-            )
-
-    return rows.mapInArrow(run, "id long, key long, starts array<int>, words array<int>, digests array<long>")
-
-
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per span of whole chunks that repeats earlier text: id, first_byte, last_byte (exclusive), n_words, n_chunks, first_id.
-
-    first_id is the smallest id in which the span's first chunk stands before. Null and empty texts
-    have no chunks. Rows without an id come after all others in the order of first places; rows that
-    repeat an id and text are one document, whose spans are those of one row and are returned once.
-    Texts of any length are chunked whole. Other columns are not read.
-    """
-    scratch = Scratch(docs.sparkSession, "substrings")
-    chunked = scratch.keep(chunk_documents(docs, id_col, text), "chunks")
-    # a chunk's place in one number: start, length (MAX_CHUNK at most), words
-    at = F.shiftleft(F.get("starts", F.col("k")).cast("long"), 16) + F.shiftleft(F.get("starts", F.col("k") + 1) - F.get("starts", F.col("k")), 8) + F.get("words", F.col("k"))
-    counted = chunked.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
-    flat = chunked.select("id", "key", "starts", "words", F.posexplode("digests").alias("k", "digest")).select("digest", "id", "key", at.alias("at"))
-    seen = scratch.keep(flat.join(counted.where("n > 1").select("digest"), "digest"), "repeated")
-    scratch.drop(chunked)
-    own = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("doc"), F.col("key"), F.shiftright("at", 16).alias("start"))
-    first = seen.groupBy("digest").agg(F.min(own).alias("first"))
-    s, size, words = F.shiftright("at", 16).cast("int"), F.shiftright("at", 8).bitwiseAND(F.lit(255)).cast("int"), F.col("at").bitwiseAND(F.lit(255)).cast("int")
-    chunk = F.struct(s.alias("s"), (s + size).alias("e"), words.alias("n"), F.when(~F.col("first.none"), F.col("first.doc")).alias("of"))
-    later = seen.join(first, "digest").where(own != F.col("first")).select("id", "key", chunk.alias("c"))
-    # a document's repeats, at most its own chunks, in order: neighbours join
-    per_doc = later.groupBy("id", "key").agg(F.array_sort(F.collect_set("c")).alias("cs"))
-    span = "struct<s:int,e:int,n:int,m:int,of:bigint>"
-    start = F.struct(F.array().cast(f"array<{span}>").alias("done"), F.lit(None).cast(span).alias("open"))
-
-    def step(a, c):
-        fresh = F.struct(c["s"].alias("s"), c["e"].alias("e"), c["n"].alias("n"), F.lit(1).alias("m"), c["of"].alias("of"))
-        o = a["open"]
-        grown = F.struct(o["s"].alias("s"), c["e"].alias("e"), (o["n"] + c["n"]).alias("n"), (o["m"] + 1).alias("m"), o["of"].alias("of"))
-        joins = o.isNotNull() & (o["e"] == c["s"])
-        closed = F.when(joins | o.isNull(), a["done"]).otherwise(F.concat(a["done"], F.filter(F.array(o), lambda x: x["n"] >= min_words)))
-        return F.struct(closed.alias("done"), F.when(joins, grown).otherwise(fresh).alias("open"))
-
-    spans = per_doc.select("id", F.explode(F.aggregate("cs", start, step, lambda a: F.concat(a["done"], F.filter(F.array(a["open"]), lambda x: x["n"] >= min_words)))).alias("x"))
-    return spans.select(F.col("id").alias(id_col), F.col("x.s").cast("long").alias("first_byte"), F.col("x.e").cast("long").alias("last_byte"), F.col("x.n").cast("long").alias("n_words"), F.col("x.m").cast("long").alias("n_chunks"), F.col("x.of").alias("first_id"))
-
-
-_WIDE = np.array([int.from_bytes(hashlib.sha256(bytes([b])).digest()[4:12], "little") for b in range(256)], np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. n modulo 2 ** 64."""
-    p = _powers.get(base)
-    if p is None or len(p) <= n:
-        p = np.full(max(n + 1, 1 << 16), base, np.uint64)
-        p[0] = 1
-        p = _powers[base] = np.multiply.accumulate(p)
-    return p
-
-
-def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """First bytes of the words and the bytes after their last."""
-    a = np.frombuffer(data, np.uint8)
-    dark = np.zeros(len(a) + 2, np.int8)
-    dark[1:-1] = (a != 32) & ((a < 9) | (a > 13))
-    turn = np.diff(dark)
-    return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+                at = [s << 32 | (e - s) for s, e in zip(begin, ends)]
+                found = [digest(data[s:e]) & low for s, e in zip(begin, ends)]
+                if len(ends) > 1 and len(_word_starts(data)) < min_words:
+                    at.append(len(data))
+                    found.append(digest(data, 1) & low)
+                places.append(np.array(at, np.int64))
+                digests.append(np.array(found, np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(places, pa.list_(pa.int64())), pa.array(digests, pa.list_(pa.int64()))], names=["id", "key", "at", "digests"])
 
+    return rows.mapInArrow(run, "id long, key long, at array<long>, digests array<long>")
 
-def anchors(data: bytes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Digests of the chosen shingles, where they start and end, and how far a match must be followed to either side.
 
-    A shingle is three tenths of min_words words. Of any run of neighbouring ones the least digest is chosen, the
-    run so long that min_words - 1 whole words hold one; past that many words another anchor takes over.
-    """
-    k = max(1, min_words * 3 // 10)
-    w = max(1, min_words - k)
-    s, e = word_bounds(data)
-    if len(s) - k + 1 < w:
-        return (np.zeros(0, np.int64),) * 5
-    a = np.frombuffer(data, np.uint8)
-    total = np.zeros(len(a) + 1, np.uint64)
-    np.cumsum(_WIDE[a] * _power(_BASE, len(a))[: len(a)], out=total[1:])
-    b, t = s[: len(s) - k + 1], e[k - 1 :]
-    h = (total[t] - total[b]) * _power(_INVERSE, len(a))[b]
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(32))) & np.uint64((1 << 63) - 1)
-    view = np.lib.stride_tricks.sliding_window_view(h, w)[:, ::-1]
-    at = np.unique(w - 1 - view.argmin(axis=1) + np.arange(len(view)))
-    left = np.where(at > w, s[np.maximum(at - w - 1, 0)], 0)
-    last = at + k + w
-    right = np.where(last < len(e), e[np.minimum(last, len(e) - 1)], len(a))
-    return h[at].astype(np.int64), b[at], t[at], left, right
+def keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, key, t): the text's bytes and a key from them alone, which tells rows of one id apart."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("t"))
+    return rows.select("id", F.xxhash64("t").bitwiseAND(F.lit((1 << 63) - 1)).alias("key"), "t")
+
+
+def _own() -> Column:
+    """A chunk's place in the order of places: ids, those that are null last, then key and start."""
+    return F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("doc"), F.col("key"), F.shiftright("at", 32).alias("start"))
+
+
+def later_places(docs: DataFrame, scratch: Scratch, id_col: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, key, at, first): every repeated chunk but the first of its digest, and that first place."""
+    chunked = scratch.keep(chunk_documents(docs, id_col, text, min_words), "chunks")
+    counted = chunked.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counted = scratch.keep(counted, "repeated-digests")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    heavy = counted.where(F.col("n") >= max(HEAVY_ROWS, total // HEAVY_DIGESTS)).select("digest")
+    light = counted.join(F.broadcast(heavy), "digest", "left_anti").select("digest")
+    flat = chunked.select("id", "key", F.explode(F.arrays_zip("at", "digests")).alias("x")).select(F.col("x.digests").alias("digest"), "id", "key", F.col("x.at").alias("at"))
+    seen = scratch.keep(flat.join(F.broadcast(heavy), "digest", "left_anti").join(light, "digest"), "repeated")
+    many = flat.join(F.broadcast(heavy), "digest")
+    first = lambda rows: rows.groupBy("digest").agg(F.min(_own()).alias("first"))
+    leads = scratch.keep(first(many), "heavy-firsts")
+    found = seen.join(first(seen), "digest").unionByName(many.join(F.broadcast(leads), "digest"))
+    return found.where(_own() != F.col("first")).select("id", "key", "at", "first")
 
 
 def passages(data: bytes, runs: list[tuple], min_words: int) -> list[tuple[int, int, int, int, int | None]]:
-    """Spans (first byte, last byte, words, anchors, first id) of a text, given slices of earlier text shifted onto it.
+    """Spans (first byte, last byte, words, chunks, first id) of a text, given slices of earlier text shifted onto it.
 
-    A run is (its slice's place in the text, the slice, its source's id, the anchors on it as start << 32 | length).
+    A run is (its slice's place in the text, the slice, its source's id, the chunks on it as start << 32 | length).
+    A match counts if it holds min_words words or is the whole text; matches that overlap join.
     """
     a = np.frombuffer(data, np.uint8)
+    words = _word_starts(data)
     found, held = set(), set()
     for lo, piece, of, at in runs:
         y = a[lo : lo + len(piece)]
@@ -207,90 +168,64 @@ def passages(data: bytes, runs: list[tuple], min_words: int) -> list[tuple[int,
         i = np.searchsorted(apart, s, "right")
         begin, end = apart[i - 1] + 1, apart[np.minimum(i, len(apart) - 1)]
         ok = (end >= s + (at & 0xFFFFFFFF)) & (begin <= s)
-        found.update((x + lo, y + lo, of) for x, y in zip(begin[ok].tolist(), end[ok].tolist()))
-        held.update((s[ok] + lo).tolist())
+        begin, end = begin[ok] + lo, end[ok] + lo
+        much = np.searchsorted(words, end) - np.searchsorted(words, begin) >= min_words
+        much |= (begin == 0) & (end == len(a))
+        found.update((x, z, of) for x, z in zip(begin[much].tolist(), end[much].tolist()))
+        held.update((s[ok][much] + lo).tolist())
     if not found:
         return []
     found = sorted(found, key=lambda f: (f[0], f[2] is None, f[2] or 0, f[1]))
     joined = [list(found[0])]
     for s, e, of in found[1:]:
-        if s <= joined[-1][1]:
+        if s < joined[-1][1]:
             joined[-1][1] = max(joined[-1][1], e)
         else:
             joined.append([s, e, of])
-    words, at = word_bounds(data)[0], np.array(sorted(held))
-    out = []
-    for s, e, of in joined:
-        n = int(np.searchsorted(words, e) - np.searchsorted(words, s))
-        if n >= min_words or (s == 0 and e == len(a)):
-            out.append((s, e, n, int(np.searchsorted(at, e) - np.searchsorted(at, s)), of))
-    return out
+    at = np.array(sorted(held))
+    count = lambda x, s, e: int(np.searchsorted(x, e) - np.searchsorted(x, s))
+    return [(s, e, count(words, s, e), count(at, s, e), of) for s, e, of in joined]
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per span that repeats earlier text: id, first_byte, last_byte (exclusive), n_words, n_chunks, first_id.
 
-    Spans run from the first equal byte to the last, hold min_words words (counted by their first bytes) or are
-    a whole text, whatever its length. n_chunks counts the anchors in the span; first_id is the smallest id the
-    span's beginning was found in. Ids that are null or repeat are treated as in ``repeated_spans``.
+    A span is a run of bytes equal to those around its chunks' first places, from the first equal byte to the last,
+    with min_words words (counted by their first bytes), or a whole text, whatever its length; overlapping ones are
+    one span. n_chunks counts the repeated chunks that begin in it; first_id is the smallest id its beginning was
+    found in. Null and empty texts have no spans. Rows without an id come after all others in the order of first
+    places; rows that repeat an id and text are one document, whose spans are returned once. Texts of any length are
+    read whole. Other columns are not read.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("t"))
-    low = (1 << 63) - 1
-    # the text's own key, from its bytes alone, so that both sides of later joins agree
-    keyed = rows.select("id", F.xxhash64("t").bitwiseAND(F.lit(low)).alias("key"), "t")
-    # an anchor: its start and length in one number, how far to follow it left and right in another
-    place = "array<struct<digest:bigint,at:bigint,room:bigint>>"
-    kind = pa.struct([("digest", pa.int64()), ("at", pa.int64()), ("room", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            parts, ends = [[np.zeros(0, np.int64)] * 5], [0]
-            for key, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                found = anchors(data, min_words)
-                if data:  # the whole text is an anchor too
-                    found = [np.append(f, v) for f, v in zip(found, (key, 0, len(data), 0, len(data)))]
-                parts.append(found)
-                ends.append(ends[-1] + len(found[0]))
-            h, s, e, left, right = (np.concatenate([p[c] for p in parts]).astype(np.int64) for c in range(5))
-            flat = pa.StructArray.from_arrays([pa.array(h), pa.array(s << 32 | (e - s)), pa.array((s - left) << 32 | (right - e))], fields=list(kind))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["id", "key", "places"])
-
-    # one shuffle brings an anchor's places together; anchors of one place end there
-    flat = keyed.mapInArrow(run, f"id long, key long, places {place}").select("id", "key", F.inline("places"))
-    own = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("doc"), F.col("key"), F.shiftright("at", 32).alias("start"))
-    order = Window.partitionBy("digest").orderBy(F.col("id").isNull(), F.coalesce("id", "key"), "key", "at")
-    ranked = flat.select(own.alias("own"), "at", "room", F.first(own).over(order).alias("first"), F.lag(own).over(order).alias("before")).where("before is not null")
-    # a repeated row's place may stand before itself
-    earlier = F.array_distinct(F.filter(F.array("first", "before"), lambda x: x != F.col("own")))
-    pairs = ranked.select("own", "at", "room", F.explode(earlier).alias("x"))
+    later = later_places(docs, Scratch(spark, "substrings"), id_col, text, min_words)
     s, size = F.shiftright("at", 32), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))
-    lo, hi = s - F.shiftright("room", 32), s + size + F.col("room").bitwiseAND(F.lit(0xFFFFFFFF))
-    of = [F.col("x.none").alias("xnone"), F.col("x.doc").alias("xdoc"), F.col("x.key").alias("xkey")]
-    pairs = pairs.select("own.none", "own.doc", "own.key", *of, (F.col("x.start") - s).alias("d"), "at", lo.alias("lo"), hi.alias("hi"))
-    # anchors at one distance share a slice, which starts where both texts have bytes
-    lines = pairs.repartition("xnone", "xdoc", "xkey").groupBy("none", "doc", "key", "xnone", "xdoc", "xkey", "d").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("at").alias("anchors"))
-    lines = lines.withColumn("lo", F.greatest("lo", -F.col("d")))
-    texts = keyed.select(F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("doc"), "key", "t")
-    sources = texts.select(F.col("none").alias("xnone"), F.col("doc").alias("xdoc"), F.col("key").alias("xkey"), "t")
-    cut = F.substring("t", (F.col("lo") + F.col("d") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
-    one = F.struct(F.col("lo"), cut.alias("slice"), F.when(~F.col("xnone"), F.col("xdoc")).alias("of"), F.col("anchors"))
-    sliced = lines.join(sources, ["xnone", "xdoc", "xkey"]).select("none", "doc", "key", one.alias("run"))
-    runs = sliced.groupBy("none", "doc", "key").agg(F.collect_list("run").alias("runs"))
-    both = runs.join(texts, ["none", "doc", "key"]).select("none", "doc", "key", "t", "runs")
+    own = [F.col("id").isNull().alias("none"), F.coalesce("id", "key").alias("doc"), F.col("key")]
+    pairs = later.select(*own, F.col("first.none").alias("xnone"), F.col("first.doc").alias("xdoc"), F.col("first.key").alias("xkey"), (F.col("first.start") - s).alias("d"), "at", s.alias("lo"), (s + size).alias("hi"))
+    # chunks at one distance share a slice, which lies where both texts have bytes
+    lines = pairs.groupBy("none", "doc", "key", "xnone", "xdoc", "xkey", "d").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_set("at").alias("chunks"))
+    lines = lines.withColumn("lo", F.greatest(F.col("lo") - ROOM, -F.col("d"), F.lit(0))).withColumn("hi", F.col("hi") + ROOM)
+    texts = keyed(docs, id_col, text).select(*own, "t")
+    if not texts.groupBy("none", "doc", "key").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["none", "doc", "key"])
+    x, y = texts.alias("x"), texts.alias("y")
+    cut = F.substring(F.col("x.t"), (F.col("lo") + F.col("d") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
+    one = F.struct(F.col("lo"), cut.alias("slice"), F.when(~F.col("xnone"), F.col("xdoc")).alias("of"), F.col("chunks"))
+    met = lines.alias("l").join(x, (F.col("l.xnone") == F.col("x.none")) & (F.col("l.xdoc") == F.col("x.doc")) & (F.col("l.xkey") == F.col("x.key")))
+    runs = met.select(F.col("l.none").alias("rnone"), F.col("l.doc").alias("rdoc"), F.col("l.key").alias("rkey"), one.alias("run")).groupBy("rnone", "rdoc", "rkey").agg(F.collect_list("run").alias("runs"))
+    both = runs.join(y, (F.col("rnone") == F.col("y.none")) & (F.col("rdoc") == F.col("y.doc")) & (F.col("rkey") == F.col("y.key"))).select("rnone", "rdoc", "rkey", "t", "runs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out, lists = [], b.column(4)
             offsets, flat = lists.offsets.to_pylist(), lists.values
-            lo, slices, of, held = flat.field("lo").to_numpy(), flat.field("slice"), flat.field("of").to_pylist(), flat.field("anchors")
+            lo, slices, of, held = flat.field("lo").to_numpy(), flat.field("slice"), flat.field("of").to_pylist(), flat.field("chunks")
             begin, at = held.offsets.to_numpy(), held.values.to_numpy()
-            for i, (none, doc, key, data) in enumerate(zip(*(b.column(c).to_pylist() for c in range(4)))):
+            for i, (none, doc, data) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist())):
                 rs = [(int(lo[j]), slices[j].as_py(), of[j], at[begin[j] : begin[j + 1]]) for j in range(offsets[i], offsets[i + 1])]
-                out += [(None if none else doc, key, *x) for x in passages(data, rs, min_words)]
-            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(7)], names=["id", "key", "first_byte", "last_byte", "n_words", "n_chunks", "first_id"])
+                out += [(None if none else doc, *x) for x in passages(data, rs, min_words)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(6)], names=["id", "first_byte", "last_byte", "n_words", "n_chunks", "first_id"])
 
-    # rows that repeat an id and text give their spans once
-    spans = both.mapInArrow(compare, "id long, key long, first_byte long, last_byte long, n_words long, n_chunks long, first_id long").distinct()
-    return spans.select(F.col("id").alias(id_col), "first_byte", "last_byte", "n_words", "n_chunks", "first_id")
+    spans = both.mapInArrow(compare, "id long, first_byte long, last_byte long, n_words long, n_chunks long, first_id long")
+    return spans.withColumnRenamed("id", id_col)
