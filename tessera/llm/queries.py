@@ -92,9 +92,34 @@ SELECT d.doc_id, d.size, n.source_size, n.target, (d.size * (n.whole + CASE WHEN
 FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.draw = x.draw
 """
 
+OP4_SQL = r"""
+WITH RECURSIVE r AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (SELECT rid, vec_id, label, v FROM r
+    WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+p AS (SELECT a.rid AS x, b.rid AS y FROM u a JOIN u b ON a.label = b.label AND len(a.v) = len(b.v) AND a.rid < b.rid
+    WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.93),
+e AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+c(rid, seen) AS (SELECT rid, rid FROM r UNION SELECT e.x, c.seen FROM e JOIN c ON c.rid = e.y),
+m AS (SELECT c.rid, min(s.vec_id) AS component_id FROM c JOIN r s ON s.rid = c.seen GROUP BY c.rid),
+n AS (SELECT x AS rid, count(*) AS n FROM e GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM r JOIN m USING (rid) LEFT JOIN n USING (rid)
+"""
+
+OP5_SQL = r"""
+WITH b AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex FROM b),
+g AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, (i * 5 // 4 + 1)::INT, 2) || '0')::INT >> (7 - i * 5 % 4)::INT) & 31) + 1, 1)), '') AS payload_digest,
+    max(page_id) OVER (PARTITION BY hex, payload_bytes) AS latest FROM h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < latest THEN latest END AS refers_to
+FROM g
+"""
+
 ORACLE_SQL: dict[str, str] = {
-    "op4_embedding_near_dedup": op4_embedding_near_dedup,
-    "op5_warc": op5_warc,
+    "op4_embedding_near_dedup": OP4_SQL,
+    "op5_warc": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
     "op7_mix_sources": OP7_SQL,
 }
