@@ -70,16 +70,18 @@ def pack(parts: Column, max_tokens: int, overlap_tokens: int = 0) -> Column:
     """Greedy packing of an array of texts into arrays within a token budget, the last text carried over.
 
     A text over the budget stays whole. A chunk is closed when the next text would exceed the budget;
-    its last text opens the next chunk too if it is no larger than the overlap.
+    its last text opens the next chunk too if it is no larger than the overlap. Texts are estimated
+    once, before the fold: a step that named the estimate would compute it anew at each mention.
     """
+    sized = F.transform(parts, lambda p: F.struct(p.alias("text"), X.token_estimate(p).alias("tokens")))
     strings = "array<string>"
     start = F.struct(F.array().cast("array<array<string>>").alias("done"), F.array().cast(strings).alias("cur"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("last"))
 
-    def step(a: Column, p: Column) -> Column:
-        t = X.token_estimate(p)
+    def step(a: Column, x: Column) -> Column:
+        t = x["tokens"]
         flush = (a["n"] + t > max_tokens) & (F.size(a["cur"]) > 0)
         carry = flush & (a["last"] <= overlap_tokens) if overlap_tokens > 0 else F.lit(False)
-        one = F.array(p)
+        one = F.array(x["text"])
         return F.struct(
             F.when(flush, F.concat(a["done"], F.array(a["cur"]))).otherwise(a["done"]).alias("done"),
             F.when(carry, F.concat(F.slice(a["cur"], -1, 1), one)).when(flush, one).otherwise(F.concat(a["cur"], one)).alias("cur"),
@@ -87,7 +89,7 @@ def pack(parts: Column, max_tokens: int, overlap_tokens: int = 0) -> Column:
             t.alias("last"),
         )
 
-    return F.aggregate(parts, start, step, lambda a: F.when(F.size(a["cur"]) > 0, F.concat(a["done"], F.array(a["cur"]))).otherwise(a["done"]))
+    return F.aggregate(sized, start, step, lambda a: F.when(F.size(a["cur"]) > 0, F.concat(a["done"], F.array(a["cur"]))).otherwise(a["done"]))
 
 
 def chunk_sections(sections: DataFrame, max_tokens: int = 4000, overlap_tokens: int = 200) -> DataFrame:
