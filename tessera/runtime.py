@@ -82,6 +82,12 @@ class Scratch:
                 fs.delete(p, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows as they are, or dealt over the session's cores if they lie in fewer partitions (a small or unsplittable input)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
