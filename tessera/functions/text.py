@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 import unicodedata
 
@@ -102,6 +103,12 @@ _CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f]")
 _COMMA = re.compile(r",\s*([}\]])")
 
 
+def stated_confidence(value: dict) -> float | None:
+    """The object's own confidence, if it is a number (true and false count as 1 and 0) other than NaN."""
+    c = value.get("confidence_score")
+    return float(c) if isinstance(c, (int, float)) and not math.isnan(c) else None
+
+
 def parse_reply(raw: str) -> tuple[object, str | None]:
     """(value, None) or (None, error): strict JSON after fences are gone, once more after clean-up.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -72,12 +71,6 @@ def claims(chunks: DataFrame, fields: list[Field]) -> DataFrame:
     return chunks.where("extraction is not null").select("doc", F.col("ci").cast("int"), "cid", "extraction").mapInArrow(run, CLAIM)
 
 
-def confidence_of(text: str | None) -> float | None:
-    """The chunk's confidence, if it is a number other than NaN."""
-    c = json.loads(text).get("confidence_score") if text is not None else None
-    return float(c) if isinstance(c, (int, float)) and not math.isnan(c) else None
-
-
 def _by_doc(df: DataFrame, order, value, name: str) -> DataFrame:
     """doc, field, name: a JSON array of the values in order."""
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v")))), lambda x: x["v"]), ",")

@@ -1,8 +1,7 @@
 """Chunks through a model: prompts, providers, the typed envelope, routing.
 
-The provider is called in one Arrow pass. Replies are cached by chunk content, prompt version and
-model where the caller gives a store, so a retried task need not pay twice; the envelope is written
-once and both routes read it, for the same reason.
+The provider is called in one Arrow pass. The envelope is written once and both routes read it, so
+no reply is paid for twice but where a task is tried again.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import time
+import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -22,12 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.schema import Schemas
-from tessera.functions.text import parse_reply
+from tessera.functions.text import parse_reply, stated_confidence
 from tessera.runtime import ship_package
 
 #: Parameters of the call and those that travel in its extra body.
 DIRECT = ("temperature", "top_p")
 EXTRA = ("top_k", "min_p", "repeat_penalty", "num_predict")
+#: Statuses under 500 that may pass: timeout, conflict, too early, too many requests.
+RETRIED = (408, 409, 425, 429)
 VARIABLES = ("source_file", "source_section", "content", "extraction_instructions", "json_schema")
 
 
@@ -63,7 +65,7 @@ class RuleProvider:
 
 @dataclass
 class HttpProvider:
-    """Chat completions over HTTP: known parameters only, nulls dropped, bounded retries."""
+    """Chat completions over HTTP: known parameters only, nulls dropped, bounded retries of what may succeed later."""
 
     endpoint: str
     model: str
@@ -85,8 +87,9 @@ class HttpProvider:
                 with urllib.request.urlopen(ask, timeout=self.timeout) as r:
                     got = json.load(r)
                 break
-            except OSError:
-                if attempt == self.max_retries:
+            except OSError as e:
+                refused = isinstance(e, urllib.error.HTTPError) and e.code < 500 and e.code not in RETRIED
+                if refused or attempt == self.max_retries:
                     raise
                 time.sleep(min(8, 0.5 * 2**attempt))
         usage = got.get("usage") or {}
@@ -137,7 +140,7 @@ def render(pieces: list[tuple[str, str]]) -> Column:
 ENVELOPE = (
     "chunk_id string, source_file string, source_page int, source_section string, source_position string, chunk_index int, is_structured boolean, extraction_result string, fallback_text string, extraction_method string, "
     "extraction_mode string, extracted_at string, latency_ms long, model_name string, model_endpoint string, token_usage_input long, token_usage_output long, confidence_score double, thinking_content string, schema_version string, "
-    "prompt_version string, validation_status string, parse_error string, raw_response string"
+    "prompt_version string, validation_status string, parse_error string, raw_response string, stated_confidence double"
 )
 _NAMES = [x.strip().split(" ")[0] for x in ENVELOPE.split(",")]
 _KEPT = _NAMES[:6]
@@ -148,7 +151,7 @@ def envelope(chunk: dict[str, Any], provider: Provider, prompts: Prompts, clock:
     base = {k: chunk[k] for k in _KEPT} | {
         "is_structured": False, "extraction_result": None, "fallback_text": "", "extraction_method": "direct_prompt", "extraction_mode": "metadata_only", "extracted_at": clock().isoformat(), "latency_ms": 0, "model_name": provider.model,
         "model_endpoint": provider.endpoint, "token_usage_input": 0, "token_usage_output": 0, "confidence_score": 0.0, "thinking_content": "", "schema_version": prompts.schema_version, "prompt_version": prompts.version,
-        "validation_status": "pending", "parse_error": None, "raw_response": None,
+        "validation_status": "pending", "parse_error": None, "raw_response": None, "stated_confidence": None,
     }
     content = chunk["content"] or ""
     try:
@@ -160,7 +163,13 @@ def envelope(chunk: dict[str, Any], provider: Provider, prompts: Prompts, clock:
     if value is None:
         return base | {"parse_error": error, "raw_response": reply.content[:500], "fallback_text": f"LLM response not valid JSON: {error}\nRAW RESPONSE:\n{reply.content[:3000]}\n\nORIGINAL CONTENT:\n{content[:3000]}"}
     sure = value.get("confidence_score", 0.0)
-    return base | {"is_structured": True, "extraction_result": json.dumps(value, ensure_ascii=False), "confidence_score": float(sure) if isinstance(sure, (int, float)) else None, "thinking_content": str(value.get("thinking") or "")}
+    return base | {
+        "is_structured": True,
+        "extraction_result": json.dumps(value, ensure_ascii=False),
+        "confidence_score": float(sure) if isinstance(sure, (int, float)) else None,
+        "thinking_content": str(value.get("thinking") or ""),
+        "stated_confidence": stated_confidence(value),
+    }
 
 
 def extract(chunks: DataFrame, provider: Provider, prompts: Prompts, concurrency: int = 4, clock: Callable[[], datetime] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ import importlib
 import os
 import re
 import sys
+from collections.abc import Mapping
 from pathlib import Path
 from typing import Any
 
@@ -22,17 +23,34 @@ from tessera.operators.merge import run_summary
 from tessera.runtime import Scratch
 from tessera.sources import docx, sinks
 
-_VARIABLE = re.compile(r"\$\{(\w+):([^}]*)\}")
+#: Ways to cut a document; sections by heading are the only one.
+STRATEGIES = ("heading",)
 
 
-def substitute(value: Any, env: dict[str, str] | None = None) -> Any:
-    """``${NAME:default}`` in every string of a tree; a name without a default stays as it is."""
+def _filled(text: str, env: Mapping[str, str]) -> str:
+    """The text with every ``${NAME:default}`` replaced, read from left to right; other dollar signs stay."""
+    out, at = [], 0
+    while (begin := text.find("${", at)) >= 0:
+        end = text.find("}", begin)
+        name, colon, default = text[begin + 2 : max(end, begin + 2)].partition(":")
+        known = end > 0 and bool(colon) and name.replace("_", "a").isalnum()
+        stop = end + 1 if known else begin + 2
+        out += [text[at:begin], env.get(name, default) if known else text[begin:stop]]
+        at = stop
+    return "".join(out) + text[at:]
+
+
+def substitute(tree: Any, env: Mapping[str, str] | None = None) -> Any:
+    """A copy of a parsed configuration with its strings filled from the environment; results stay strings."""
     env = os.environ if env is None else env
-    if isinstance(value, dict):
-        return {k: substitute(v, env) for k, v in value.items()}
-    if isinstance(value, list):
-        return [substitute(v, env) for v in value]
-    return _VARIABLE.sub(lambda m: env.get(m[1], m[2]), value) if isinstance(value, str) else value
+    match tree:
+        case str():
+            return _filled(tree, env)
+        case list():
+            return [substitute(x, env) for x in tree]
+        case dict():
+            return dict(zip(tree, (substitute(x, env) for x in tree.values())))
+    return tree
 
 
 def load_config(path: str, section: str, genre: str = "") -> dict[str, Any]:
@@ -64,11 +82,8 @@ def merge_results(results: DataFrame, config: dict[str, Any], scratch: Scratch)
     """Envelopes to one row a document."""
     wanted = config.get("extraction") or {}
     fields = Schemas(config).combined(wanted.get("core", True), wanted.get("genre"))
-    # a quoted confidence is no number; NaN counts as none
-    sure = F.expr("try_cast(get_json_object(extraction_result, '$.confidence_score') as double)")
-    quoted = F.col("extraction_result").rlike('"confidence_score":\\s*"')
-    sure = F.when(~quoted & ~F.isnan(sure), sure)
-    chunks = results.select("doc", F.col("chunk_index").alias("ci"), F.col("chunk_id").alias("cid"), F.col("is_structured").alias("ok"), F.col("extraction_result").alias("extraction"), sure.alias("confidence"))
+    named = {"chunk_index": "ci", "chunk_id": "cid", "is_structured": "ok", "extraction_result": "extraction", "stated_confidence": "confidence"}
+    chunks = results.select("doc", *[F.col(a).alias(b) for a, b in named.items()])
     return A.all_info(chunks, fields, scratch)
 
 
@@ -83,14 +98,28 @@ def extract_documents(spark: SparkSession, elements: DataFrame, config: dict[str
 # --- declared pipelines ------------------------------------------------------------------------
 
 
+def options(required: tuple[str, ...] = (), **optional: Any):
+    """Declares a plug-in's options: those it needs, and those it may be given with their defaults."""
+
+    def mark(plugin):
+        plugin.required_options, plugin.optional_options = required, optional
+        return plugin
+
+    return mark
+
+
+@options(("file_path",), image_mode="metadata_only")
 def docx_source(spark: SparkSession, spec: dict[str, Any]) -> DataFrame:
     if not spec.get("file_path"):
         raise ValueError("a docx source needs file_path")
     rule = spec.get("chunking") or {}
+    if rule.get("strategy", "heading") not in STRATEGIES:
+        raise ValueError(f"strategy is one of {STRATEGIES}")
     elements = docx.read_reported(spark, spec["file_path"], spec.get("image_mode", "metadata_only"))
     return S.chunk_sections(S.build_sections(elements), int(rule.get("max_tokens", 4000)), int(rule.get("overlap_tokens", 200)))
 
 
+@options(("config",))
 def model_transform(spark: SparkSession, tables: dict[str, DataFrame], spec: dict[str, Any]) -> dict[str, DataFrame]:
     """The first table through the model, to every sink; it is written once before they read it."""
     config = spec["config"]
@@ -99,27 +128,39 @@ def model_transform(spark: SparkSession, tables: dict[str, DataFrame], spec: dic
     return {"json_output": results, "txt_fallback": results}
 
 
+@options(("output_dir",))
 def json_sink(df: DataFrame, spec: dict[str, Any]) -> None:
     sinks.write_json(df, spec["output_dir"])
 
 
+@options(("output_dir",))
 def fallback_sink(df: DataFrame, spec: dict[str, Any]) -> None:
     sinks.write_fallback(df, spec["output_dir"])
 
 
-def load(name: str):
-    """A plug-in by dotted path: a callable of this package or of the caller."""
+def load(name: str, spec: Mapping[str, Any] | None = None):
+    """A plug-in by dotted path: a callable of this package or of the caller. A spec lacking what it needs is an error."""
     module, _, attribute = name.rpartition(".")
-    return getattr(importlib.import_module(module), attribute)
+    plugin = getattr(importlib.import_module(module), attribute)
+    missing = [x for x in getattr(plugin, "required_options", ()) if not (spec or {}).get(x)]
+    if spec is not None and missing:
+        raise ValueError(f"{name} needs {', '.join(missing)}")
+    return plugin
+
+
+def with_defaults(plugin, spec: Mapping[str, Any]) -> dict[str, Any]:
+    return {**getattr(plugin, "optional_options", {}), **spec}
 
 
 def run_pipeline(spark: SparkSession, plan: dict[str, Any]) -> dict[str, DataFrame]:
     """sources, transform and sinks of a parsed plan, each a dotted path with options."""
-    tables = {s["name"]: load(s["module"])(spark, s) for s in plan["sources"]}
+    # every part is found and its options are checked before anything runs
     step = plan["transform"]
-    out = load(step["module"])(spark, tables, step)
-    for s in plan["sinks"]:
-        load(s["module"])(out[s["name"]], s)
+    sources, transform, ends = ([(load(s["module"], s), s) for s in part] for part in (plan["sources"], [step], plan["sinks"]))
+    tables = {s["name"]: f(spark, with_defaults(f, s)) for f, s in sources}
+    out = transform[0][0](spark, tables, with_defaults(transform[0][0], step))
+    for f, s in ends:
+        f(out[s["name"]], with_defaults(f, s))
     return out
 
 
@@ -165,7 +206,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0 if check_drift(config, args.folder, args.check) else 1
     spark = SparkSession.builder.getOrCreate()
     results, merged = extract_documents(spark, docx.read_reported(spark, args.docx), config, provider_of(config), max_chunks=args.max_chunks)
-    sinks.write(merged, "json", f"{args.output_dir}/all_info_{sinks.stamp()}")
+    sinks.write_documents(merged, args.output_dir)
     sinks.write_json(results, args.output_dir)
     s = run_summary(results.select(F.col("is_structured").alias("ok"), F.col("confidence_score").alias("confidence"), "latency_ms")).first()
     print(f"{s['succeeded']}/{s['chunks']} chunks, mean confidence {s['mean_confidence'] or 0:.3f}, mean latency {s['mean_latency_ms'] or 0:.0f} ms")

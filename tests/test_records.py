@@ -6,7 +6,7 @@ from tessera.sources import sinks
 
 
 def test_records_and_reviews(spark):
-    rows = [("d", f"c{n}", "f.docx", 1, "s", "p", n, n == 0, '{"a": 1}' if n == 0 else None, "", "direct_prompt", "metadata_only", "2024-01-02T03:04:05+00:00", 5, "m", "e", 1, 2, 0.5, "", "1.2", "1.1", "pending", None, None) for n in range(3)]
+    rows = [("d", f"c{n}", "f.docx", 1, "s", "p", n, n == 0, '{"a": 1}' if n == 0 else None, "", "direct_prompt", "metadata_only", "2024-01-02T03:04:05+00:00", 5, "m", "e", 1, 2, 0.5, "", "1.2", "1.1", "pending", None, None, 0.5) for n in range(3)]
     records = R.extraction_records(spark.createDataFrame(rows, "doc string, " + E.ENVELOPE))
     r = records.first()
     assert r.metadata.model.model_name == "m" and r.metadata.human_validation.validation_status == "pending" and r.metadata.extraction.extracted_at is not None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 
-TEXTS = ["", "abc def", "地熱 井名 abc 12", " x ", "a" * 50, "😀 é", "　地　", "line\nline", "\x1cq\x1f"]
+TEXTS = ["", "abc def", "港口 室名 abc 12", " x ", "a" * 50, "😀 é", "　地　", "line\nline", "\x1cq\x1f"]
 
 
 def test_estimate_strip_and_fold(spark):
