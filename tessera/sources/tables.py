@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tessera.functions import text as X
 
 FORMATS = ("parquet", "orc", "csv", "json", "text", "jdbc", "binaryFile")
-_TAGS = "(?is)<(h[1-6]|p|li)(?:\\s[^>]*)?>(.*?)</\\1>"
+#: Tags that open a block, and a character that stands nowhere in a page's text.
+_OPENS = "(?i)<(?=(?:h[1-6]|p|li)(?:\\s[^>]*)?>)"
+_MARK = "\x01"
 
 
 def read(spark: SparkSession, kind: str, path: str | None = None, **options) -> DataFrame:
@@ -34,8 +36,14 @@ def plain(html: Column) -> Column:
 
 
 def html_elements(pages: DataFrame, doc: Column, html: str) -> DataFrame:
-    """Headings, paragraphs and list items of a page in order; headings 1 to 4 open sections."""
-    bare = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), "(?is)<(script|style)\\b.*?</\\1>", "")
-    tags, bodies = F.regexp_extract_all(bare, F.lit(_TAGS), F.lit(1)), F.regexp_extract_all(bare, F.lit(_TAGS), F.lit(2))
-    e = pages.select(doc.cast("string").alias("doc"), F.posexplode(F.arrays_zip(tags.alias("tag"), bodies.alias("body"))).alias("ord", "x"))
-    return e.select("doc", "ord", F.lit("p").alias("kind"), plain(F.col("x.body")).alias("text"), F.lower("x.tag").isin("h1", "h2", "h3", "h4").alias("style_heading"), F.lit(False).alias("page_break"))
+    """Headings, paragraphs and list items of a page in order; headings 1 to 4 open sections.
+
+    A block ends at the first closing tag of any block or where the next one opens, so one that is never
+    closed keeps its text, and a page is read in one pass.
+    """
+    bare = F.regexp_replace(F.replace(F.coalesce(F.col(html), F.lit("")), F.lit(_MARK), F.lit(" ")), "(?is)<script\\b.*?</script>|<style\\b.*?</style>", "")
+    blocks = F.split(F.regexp_replace(bare, _OPENS, _MARK), _MARK)
+    e = pages.select(doc.cast("string").alias("doc"), F.posexplode(F.slice(blocks, 2, F.greatest(F.size(blocks) - 1, F.lit(0)))).alias("ord", "x"))
+    tag = F.lower(F.regexp_extract("x", "^(\\w+)", 1))
+    body = F.regexp_replace(F.regexp_replace("x", "^[^>]*>", ""), "(?is)</(?:h[1-6]|p|li)>.*$", "")
+    return e.select("doc", "ord", F.lit("p").alias("kind"), plain(body).alias("text"), tag.isin("h1", "h2", "h3", "h4").alias("style_heading"), F.lit(False).alias("page_break"))
