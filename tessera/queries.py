@@ -16,7 +16,7 @@ from tessera.operators import all_info as A
 from tessera.operators import extract as E
 from tessera.operators import merge as M
 from tessera.operators import sections as S
-from tessera.runtime import Scratch, read_table
+from tessera.runtime import Scratch, read_table, spread
 from tessera.sources import sinks, tables
 
 MAX_TOKENS, OVERLAP = 400, 60
@@ -24,7 +24,7 @@ TEMPLATE = "## {source_file}\n### {source_section}\n{content}\n{extraction_instr
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents")
+    return spread(read_table(spark, d, "documents"))
 
 
 def _elements(spark: SparkSession, d: str) -> DataFrame:
@@ -77,6 +77,21 @@ def html_sections(spark, d):
     return S.build_sections(e).select(F.col("doc").cast("long").alias("page_id"), F.col("section").cast("long").alias("section"), "heading", F.array_join("parts", "\n").alias("body"))
 
 
+def identity_fold(spark, d):
+    return _documents(spark, d).select("doc_id", F.md5(X.identity_fold(F.col("text"))).alias("fold_md5"))
+
+
+def tables_and_images(spark, d):
+    """Every fifth line a table of its words, every fourth one with an image."""
+    e = _elements(spark, d).withColumn("kind", F.when(F.col("ord") % 5 == 3, F.lit("tbl")).otherwise(F.lit("p")))
+    cells = F.filter(F.array(*[F.slice(F.split("text", " "), n, 2) for n in (1, 3)]), lambda r: F.size(r) > 0)
+    e = e.withColumn("text", F.when((F.col("kind") == "tbl") & (F.col("text") != ""), S.table_markdown(cells)).otherwise(F.col("text")))
+    image = F.struct(F.concat(F.lit("rId"), F.col("ord").cast("string")).alias("image_ref"), (F.col("ord") + 1).cast("int").alias("page_estimate"), F.lit("metadata_only").alias("mode"))
+    e = e.withColumn("images", F.when(F.col("ord") % 4 == 2, F.array(image)).otherwise(F.array().cast(S.IMAGE)))
+    c = S.chunk_sections(S.build_sections(e), MAX_TOKENS, OVERLAP)
+    return c.select(F.col("doc").cast("long").alias("doc_id"), F.col("chunk_index").cast("long").alias("chunk_index"), "source_position", F.md5("content").alias("content_md5"), "image_refs")
+
+
 def _packed(spark, d, overlap):
     lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), X.strip), lambda x: x != "")
     c = _documents(spark, d).select("doc_id", F.posexplode(S.pack(lines, MAX_TOKENS, overlap)).alias("chunk", "lines"))
@@ -217,29 +232,29 @@ def merge_collect(spark, d):
 
 
 def _items(spark, d):
-    """Sentences as objects: a name, its depth, at times a temperature, and its words."""
+    """Sentences as objects: a name, its width, at times a height, and its words."""
     t = _turns(spark, d).select("doc", "ci", "cid", F.posexplode(F.split("text", "\\.")).alias("pos", "s"))
     name = F.regexp_extract("s", "[A-Za-z]{2,}", 0)
     shown = F.when(F.col("ci") % 2 == 1, F.upper(name)).otherwise(name)
     n = F.char_length("s")
     return t.select(
-        "doc", "ci", "cid", "pos", F.lit("wells").alias("field"), (name == "").alias("anon"), X.ascii_fold(shown).alias("key"), shown.alias("name"), F.concat((n % 3).cast("string"), F.lit(" m")).alias("depth"),
-        F.when(n % 2 == 1, F.concat((n % 5).cast("string"), F.lit(" C"))).alias("temperature"), F.regexp_extract_all("s", F.lit("[a-z]{6,}"), F.lit(0)).alias("words"),
+        "doc", "ci", "cid", "pos", F.lit("rooms").alias("field"), (name == "").alias("anon"), X.ascii_fold(shown).alias("key"), shown.alias("name"), F.concat((n % 3).cast("string"), F.lit(" wide")).alias("width"),
+        F.when(n % 2 == 1, F.concat((n % 5).cast("string"), F.lit(" high"))).alias("height"), F.regexp_extract_all("s", F.lit("[a-z]{6,}"), F.lit(0)).alias("words"),
     )
 
 
 def _nested(spark, d):
-    fields = F.array(F.struct(F.lit(1).alias("nested_rank"), F.lit("depth").alias("nested"), F.col("depth").alias("value")), F.struct(F.lit(2).alias("nested_rank"), F.lit("temperature").alias("nested"), F.col("temperature").alias("value")))
+    fields = F.array(F.struct(F.lit(1).alias("nested_rank"), F.lit("width").alias("nested"), F.col("width").alias("value")), F.struct(F.lit(2).alias("nested_rank"), F.lit("height").alias("nested"), F.col("height").alias("value")))
     t = _items(spark, d).select("doc", "ci", "cid", "pos", "field", "anon", "key", F.inline(fields))
     return t.where("value is not null").withColumn("fold", X.ascii_fold(F.col("value")))
 
 
 def merge_entities(spark, d):
     e = M.entities(_items(spark, d)).where("not anon").select("doc", "akey", "first", _joined().alias("chunks"))
-    v = M.entity_fields(_nested(spark, d)).where("not anon").groupBy("doc", "akey").agg(F.max(F.when(F.col("nested") == "depth", F.col("value"))).alias("depth"), F.max(F.when(F.col("nested") == "temperature", F.col("value"))).alias("temperature"))
+    v = M.entity_fields(_nested(spark, d)).where("not anon").groupBy("doc", "akey").agg(F.max(F.when(F.col("nested") == "width", F.col("value"))).alias("width"), F.max(F.when(F.col("nested") == "height", F.col("value"))).alias("height"))
     names = M.collect_values(_items(spark, d).where("not anon").select("doc", "field", "ci", "pos", "cid", F.col("key").alias("fold"), F.col("name").alias("value"))).select("doc", F.col("fold").alias("akey"), F.col("value").alias("name"))
     out = e.join(v, ["doc", "akey"], "left").join(names, ["doc", "akey"])
-    return out.select(F.col("doc").alias("conv_id"), "name", "depth", "temperature", "chunks")
+    return out.select(F.col("doc").alias("conv_id"), "name", "width", "height", "chunks")
 
 
 def entity_conflicts(spark, d):
@@ -274,7 +289,7 @@ FIELDS = [parse_field({"name": "title"}), parse_field({"name": "words", "type":
 ENTITY_FIELDS = [
     *FIELDS,
     parse_field({"name": "seen", "merge": "collect"}),
-    parse_field({"name": "wells", "type": "list[object]", "identity": "name", "fields": [{"name": "name"}, {"name": "depth"}, {"name": "temperature"}, {"name": "words", "type": "list[str]"}]}),
+    parse_field({"name": "rooms", "type": "list[object]", "identity": "name", "fields": [{"name": "name"}, {"name": "width"}, {"name": "height"}, {"name": "words", "type": "list[str]"}]}),
 ]
 
 
@@ -288,10 +303,10 @@ def all_info(spark, d):
 
 
 def all_info_entities(spark, d):
-    wells = F.transform(F.split("text", "\\."), lambda s: F.struct(F.regexp_extract(s, "[A-Za-z]{2,}", 0).alias("name"), F.concat((F.char_length(s) % 3).cast("string"), F.lit(" m")).alias("depth"), F.regexp_extract_all(s, F.lit("[a-z]{6,}"), F.lit(0)).alias("words")))
-    t = _turns(spark, d).withColumn("wells", wells).withColumn("seen", _first_word(F.col("text")))
-    c = t.select(F.col("doc").cast("string").alias("doc"), "ci", "cid", (F.char_length("text") % 7 != 0).alias("ok"), F.when(F.char_length("text") % 7 != 0, F.to_json(F.struct("seen", "wells"))).alias("extraction"), F.lit(0.5).alias("confidence"))
-    return A.all_info(c, ENTITY_FIELDS, Scratch(spark, "all-info"))
+    rooms = F.transform(F.split("text", "\\."), lambda s: F.struct(F.regexp_extract(s, "[A-Za-z]{2,}", 0).alias("name"), F.concat((F.char_length(s) % 3).cast("string"), F.lit(" wide")).alias("width"), F.regexp_extract_all(s, F.lit("[a-z]{6,}"), F.lit(0)).alias("words")))
+    t = _turns(spark, d).withColumn("rooms", rooms).withColumn("seen", _first_word(F.col("text")))
+    c = t.select(F.col("doc").cast("string").alias("doc"), "ci", "cid", (F.char_length("text") % 7 != 0).alias("ok"), F.when(F.char_length("text") % 7 != 0, F.to_json(F.struct("seen", "rooms"))).alias("extraction"), F.lit(0.5).alias("confidence"))
+    return A.all_info(c, ENTITY_FIELDS, Scratch(spark, "all-info")).select(F.col("doc").cast("long").alias("conv_id"), "all_info")
 
 
 _LINES = r"""el AS (SELECT doc_id, ord, regexp_replace(t, '^\s+|\s+$', '', 'g') AS text FROM
@@ -329,8 +344,8 @@ _SCALAR = (
 _ITEMS = (
     _T
     + """, st AS (SELECT conv_id, turn, cid, unnest(string_split(text, '.')) AS s, unnest(range(len(string_split(text, '.')))) AS pos FROM t),
-    i AS (SELECT *, n = '' AS anon, CASE WHEN turn % 2 = 1 THEN upper(n) ELSE n END AS name, lower(n) AS key, (length(s) % 3)::VARCHAR || ' m' AS depth,
-        CASE WHEN length(s) % 2 = 1 THEN (length(s) % 5)::VARCHAR || ' C' END AS temperature, regexp_extract_all(s, '[a-z]{6,}') AS words FROM (SELECT *, regexp_extract(s, '[A-Za-z]{2,}') AS n FROM st)),
+    i AS (SELECT *, n = '' AS anon, CASE WHEN turn % 2 = 1 THEN upper(n) ELSE n END AS name, lower(n) AS key, (length(s) % 3)::VARCHAR || ' wide' AS width,
+        CASE WHEN length(s) % 2 = 1 THEN (length(s) % 5)::VARCHAR || ' high' END AS height, regexp_extract_all(s, '[a-z]{6,}') AS words FROM (SELECT *, regexp_extract(s, '[A-Za-z]{2,}') AS n FROM st)),
     k AS (SELECT *, CASE WHEN anon THEN turn || '/' || pos ELSE key END AS akey FROM i)"""
 )
 
@@ -358,13 +373,65 @@ _DOC_CHUNKS = f"""WITH RECURSIVE {_SECTIONS}, wh AS (SELECT *, array_to_string(p
         'heading: ' || heading || ', p.' || page_start || CASE WHEN page_end <> page_start THEN '-' || page_end ELSE '' END || ', para ' || para_start || '-' || para_end || coalesce(', part ' || part, '') AS source_position,
         md5(content) AS content_md5, 'text' AS content_type, '[]' AS image_refs, page_start::BIGINT AS source_page, page_end::BIGINT AS source_page_end, ix::BIGINT AS chunk_index, {_TOK.format("content")} AS token_estimate FROM x"""
 
+_T_MARK = "chr(10) || '[表格]' || chr(10)"
+_TABLES_IMAGES = f"""WITH RECURSIVE {_LINES}, wd AS (SELECT *, ord % 5 = 3 AS tbl, list_filter([string_split(text, ' ')[1:2], string_split(text, ' ')[3:4]], lambda x: len(x) > 0) AS rw FROM el),
+    md AS (SELECT doc_id, ord, tbl, text AS raw, CASE WHEN tbl AND text <> '' THEN array_to_string(rw[1], ' | ') || CASE WHEN len(rw) > 1 THEN chr(10) || array_to_string(list_transform(rw[1], lambda x: '---'), ' | ') || chr(10) || array_to_string(rw[2], ' | ') ELSE '' END ELSE text END AS text FROM wd),
+    an AS (SELECT *, NOT tbl AND raw <> '' AND length(raw) < 40 AS hd, sum((NOT tbl AND raw <> '' AND length(raw) < 40)::INT) OVER w AS sec, sum((ord % 7 = 6)::INT) OVER w + 1 AS page, sum((NOT tbl)::INT) OVER w - 1 AS para
+        FROM md WINDOW w AS (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    im AS (SELECT doc_id, sec - hd::INT AS sec, '[' || string_agg('{{"image_ref":"rId' || ord || '","page_estimate":' || (ord + 1) || ',"mode":"metadata_only"}}', ',' ORDER BY ord) || ']' AS images FROM an WHERE ord % 4 = 2 GROUP BY ALL),
+    own AS (SELECT doc_id, sec, max(raw) FILTER (hd) AS title, max(page) FILTER (hd) AS page_at, max(para) FILTER (hd) AS para_at, max(page) AS last_page, max(para) AS last_para,
+        coalesce(list(text ORDER BY ord) FILTER (NOT hd AND NOT tbl AND text <> ''), []) AS paras, coalesce(list({_T_MARK} || text ORDER BY ord) FILTER (tbl AND text <> ''), []) AS tbls FROM an GROUP BY doc_id, sec),
+    nx AS (SELECT *, coalesce(lead(page_at) OVER w, last_page) AS page_end, coalesce(lead(para_at) OVER w - 1, last_para) AS para_end FROM own WINDOW w AS (PARTITION BY doc_id ORDER BY sec)),
+    s AS (SELECT nx.doc_id, row_number() OVER (PARTITION BY nx.doc_id ORDER BY nx.sec) - 1 AS section, title, paras, paras || tbls AS parts, coalesce(page_at, 1) AS page_start, page_end, coalesce(para_at, 0) AS para_start, para_end, coalesce(images, '[]') AS images
+        FROM nx LEFT JOIN im ON im.doc_id = nx.doc_id AND im.sec = nx.sec WHERE len(paras) + len(tbls) > 0),
+    ft AS (SELECT *, array_to_string(parts, chr(10)) AS whole, coalesce(title, CASE WHEN section = 0 THEN list_filter(paras, lambda p: length(p) BETWEEN 2 AND 80)[1] END, '(document start)') AS heading FROM s),
+    fz AS (SELECT *, {_TOK.format("whole")} <= {MAX_TOKENS} AS fits FROM ft),
+    p AS (SELECT doc_id, section, n, x AS text, {_TOK.format("x")} AS t FROM (SELECT doc_id, section, unnest(parts) AS x, unnest(range(1, len(parts) + 1)) AS n FROM fz WHERE NOT fits)),
+    r AS (SELECT doc_id, section, n, t AS lt, t AS ct, 0 AS k, FALSE AS carry FROM p WHERE n = 1 UNION ALL
+        SELECT p.doc_id, p.section, p.n, p.t, CASE WHEN r.ct + p.t > {MAX_TOKENS} AND r.lt <= {OVERLAP} THEN r.lt + p.t WHEN r.ct + p.t > {MAX_TOKENS} THEN p.t ELSE r.ct + p.t END, r.k + (r.ct + p.t > {MAX_TOKENS})::INT,
+            r.ct + p.t > {MAX_TOKENS} AND r.lt <= {OVERLAP} FROM r JOIN p ON p.doc_id = r.doc_id AND p.section = r.section AND p.n = r.n + 1),
+    m AS (SELECT doc_id, section, k, n FROM r UNION ALL SELECT doc_id, section, k, n - 1 FROM r WHERE carry),
+    c AS (SELECT m.doc_id, m.section, m.k, string_agg(p.text, chr(10) ORDER BY m.n) AS content, (m.k + 1)::VARCHAR AS part FROM m JOIN p USING (doc_id, section, n) GROUP BY m.doc_id, m.section, m.k
+        UNION ALL SELECT doc_id, section, 0, whole, NULL FROM fz WHERE fits),
+    x AS (SELECT c.*, z.heading, z.page_start, z.page_end, z.para_start, z.para_end, z.images, max(c.k) OVER (PARTITION BY c.doc_id, c.section) AS last_k, row_number() OVER (PARTITION BY c.doc_id ORDER BY c.section, c.k) - 1 AS ix FROM c JOIN fz z USING (doc_id, section))
+    SELECT doc_id, ix::BIGINT AS chunk_index, 'heading: ' || heading || ', p.' || page_start || CASE WHEN page_end <> page_start THEN '-' || page_end ELSE '' END || ', para ' || para_start || '-' || para_end || coalesce(', part ' || part, '') AS source_position,
+        md5(content) AS content_md5, CASE WHEN part IS NULL OR (k = 0 AND last_k > 0) THEN images ELSE '[]' END AS image_refs FROM x"""
+
+_HTML = r"""WITH b AS (SELECT page_id, regexp_replace(replace(coalesce(html, ''), chr(1), ' '), '(?is)<script\b.*?</script>|<style\b.*?</style>', '', 'g') AS h FROM pages),
+    k AS (SELECT page_id, string_split(regexp_replace(h, '(?i)<((?:h[1-6]|p|li)(?:\s[^>]*)?>)', chr(1) || '\1', 'g'), chr(1)) AS bs FROM b),
+    e AS (SELECT page_id, unnest(bs[2:]) AS x, unnest(range(len(bs[2:]))) AS ord FROM k),
+    t AS (SELECT page_id, ord, lower(regexp_extract(x, '^(\w+)', 1)) AS tag, regexp_replace(regexp_replace(regexp_replace(x, '^[^>]*>', ''), '(?is)</(?:h[1-6]|p|li)>.*$', ''), '(?s)<[^>]*>', '', 'g') AS y FROM e),
+    u AS (SELECT page_id, ord, tag, regexp_replace(regexp_replace(replace(replace(replace(replace(replace(y, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g') AS text FROM t),
+    a AS (SELECT *, tag IN ('h1', 'h2', 'h3', 'h4') AND text <> '' AS hd, sum((tag IN ('h1', 'h2', 'h3', 'h4') AND text <> '')::INT) OVER (PARTITION BY page_id ORDER BY ord) AS sec FROM u),
+    o AS (SELECT page_id, sec, max(text) FILTER (hd) AS title, coalesce(list(text ORDER BY ord) FILTER (NOT hd AND text <> ''), []) AS paras FROM a GROUP BY page_id, sec),
+    s AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY sec) - 1 AS section FROM o WHERE len(paras) > 0)
+    SELECT page_id, section::BIGINT AS section, coalesce(title, CASE WHEN section = 0 THEN list_filter(paras, lambda p: length(p) BETWEEN 2 AND 80)[1] END, '(document start)') AS heading, array_to_string(paras, chr(10)) AS body FROM s"""
+
+_ALL_ENTITIES = _T + """, g AS (SELECT * FROM t WHERE length(text) % 7 <> 0),
+    sv AS (SELECT conv_id, turn, cid, v, lower(v) AS fold FROM (SELECT *, regexp_extract(text, '[A-Za-z]+') AS v FROM g) WHERE v <> ''),
+    sg AS (SELECT conv_id, fold, arg_min(v, turn) AS v, min(turn) AS first, '["' || string_agg(cid, '","' ORDER BY turn) || '"]' AS src FROM sv GROUP BY conv_id, fold),
+    seen AS (SELECT conv_id, '[' || string_agg('{"value":"' || v || '","source_chunk_ids":' || src || '}', ',' ORDER BY first) || ']' AS seen FROM sg GROUP BY conv_id),
+    st AS (SELECT conv_id, turn, cid, unnest(string_split(text, '.')) AS s, unnest(range(len(string_split(text, '.')))) AS pos FROM g),
+    i AS (SELECT conv_id, turn, cid, pos, regexp_extract(s, '[A-Za-z]{2,}') AS name, (length(s) % 3)::VARCHAR || ' wide' AS width, regexp_extract_all(s, '[a-z]{6,}') AS words FROM st),
+    k AS (SELECT *, CASE WHEN name = '' THEN turn || '/' || pos ELSE lower(name) END AS akey, row_number() OVER (PARTITION BY conv_id, CASE WHEN name = '' THEN turn || '/' || pos ELSE lower(name) END ORDER BY turn, pos) AS rk FROM i),
+    e AS (SELECT conv_id, akey, arg_min(name, (turn, pos)) AS name, arg_min(width, (turn, pos)) AS width, min((turn, pos)) AS first, '["' || string_agg(cid, '","' ORDER BY turn, pos) || '"]' AS src FROM k GROUP BY conv_id, akey),
+    cf AS (SELECT k.conv_id, k.akey, '[' || string_agg('{"field":"width","value":"' || k.width || '","chunk_id":"' || k.cid || '"}', ',' ORDER BY turn, pos) || ']' AS conflicts FROM k JOIN e USING (conv_id, akey) WHERE k.width <> e.width GROUP BY k.conv_id, k.akey),
+    wa AS (SELECT conv_id, akey, turn, pos, rk, unnest(words) AS w, unnest(range(len(words))) AS p FROM k),
+    wb AS (SELECT *, row_number() OVER (PARTITION BY conv_id, akey, w ORDER BY turn, pos, p) AS nth FROM wa),
+    wl AS (SELECT conv_id, akey, '["' || string_agg(w, '","' ORDER BY turn, pos, p) || '"]' AS words FROM wb WHERE rk = 1 OR nth = 1 GROUP BY conv_id, akey),
+    rooms AS (SELECT conv_id, '[' || string_agg('{"name":' || CASE WHEN name = '' THEN 'null' ELSE '"' || name || '"' END || ',"width":"' || width || '","height":null,"words":' || coalesce(words, '[]') || ',"source_chunk_ids":' || src || ',"conflicts":' || coalesce(conflicts, '[]') || '}', ',' ORDER BY first) || ']' AS rooms
+        FROM e LEFT JOIN cf USING (conv_id, akey) LEFT JOIN wl USING (conv_id, akey) GROUP BY conv_id),
+    n AS (SELECT conv_id, count(*) FILTER (length(text) % 7 <> 0) AS good, count(*) FILTER (length(text) % 7 = 0) AS bad FROM t GROUP BY conv_id)
+    SELECT conv_id, '{"title":null,"words":[],"missing":null,"seen":' || coalesce(seen, '[]') || ',"rooms":' || coalesce(rooms, '[]') || ',"_provenance":{},"_stats":{"chunks_merged":' || good || ',"chunks_failed":' || bad
+        || CASE WHEN good > 0 THEN ',"confidence_min":0.5,"confidence_avg":0.5}}' ELSE ',"confidence_min":null,"confidence_avg":null}}' END AS all_info FROM n LEFT JOIN seen USING (conv_id) LEFT JOIN rooms USING (conv_id)"""
+
 _REPLY = """rp AS (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN ' ```json' || chr(10) || b || chr(10) || '```' WHEN 1 THEN '```' || chr(10) || b || chr(10) || '```' || chr(10) || 'after' ELSE b END AS reply, b
     FROM (SELECT *, '{"t": "' || regexp_replace(text, '["\\\\]', '', 'g') || '", "n": [1, 2, ],' || chr(10) || '}' AS b FROM t))"""
 
 QUERIES = {
     f.__name__: f
     for f in (
-        token_estimate, chunk_id_hash, position_string, page_running_count, paragraph_ranges, section_by_heading, preamble_heading, html_sections, pack_chunks, pack_chunks_overlap, document_chunks, full_text, head_chunks, table_markdown,
+        token_estimate, chunk_id_hash, position_string, page_running_count, paragraph_ranges, section_by_heading, preamble_heading, html_sections, identity_fold, tables_and_images, pack_chunks, pack_chunks_overlap, document_chunks, full_text, head_chunks, table_markdown,
         strip_code_fence, clean_json, render_prompt, extract_envelope, route_structured, route_fallback, fallback_block, group_by_source, merge_list_union, merge_list_provenance, merge_first_non_null, merge_scalar_provenance, merge_collect,
         merge_entities, entity_conflicts, entity_anonymous, entity_nested_list, merge_stats, run_summary, all_info, all_info_entities,
     )
@@ -379,6 +446,9 @@ ORACLE_SQL = {
     "paragraph_ranges": f"WITH {_SECTIONS} SELECT doc_id, section::BIGINT AS section, page_start::BIGINT AS page_start, page_end::BIGINT AS page_end, para_start::BIGINT AS para_start, para_end::BIGINT AS para_end FROM s",
     "section_by_heading": f"WITH {_SECTIONS} SELECT doc_id, section::BIGINT AS section, heading, len(paras)::BIGINT AS n_paragraphs, md5(array_to_string(paras, chr(10))) AS body_md5 FROM s",
     "preamble_heading": f"WITH {_SECTIONS} SELECT doc_id, heading FROM s WHERE section = 0",
+    "html_sections": _HTML,
+    "identity_fold": "SELECT doc_id, md5(regexp_replace(replace(lower(nfc_normalize(coalesce(text, ''))), 'ß', 'ss'), '\\s+', '', 'g')) AS fold_md5 FROM documents",
+    "tables_and_images": _TABLES_IMAGES,
     "pack_chunks": _pack_sql(0),
     "pack_chunks_overlap": _pack_sql(OVERLAP),
     "document_chunks": _DOC_CHUNKS,
@@ -391,7 +461,7 @@ ORACLE_SQL = {
     "render_prompt": f"WITH {_T} SELECT conv_id, turn, md5('## ' || role || chr(10) || '### ' || cid || chr(10) || text || chr(10) || '- title: a title' || chr(10) || '{{json}}') AS prompt_md5 FROM t".replace("{{", "{").replace("}}", "}"),
     "extract_envelope": f"""WITH {_ENV} SELECT cid AS chunk_id, source_file, 'turn' AS source_section, 'turn ' || turn AS source_position, ok AS is_structured, CASE WHEN ok THEN reply END AS extraction_result, 'direct_prompt' AS extraction_method,
         'metadata_only' AS extraction_mode, 'rule' AS model_name, 'local' AS model_endpoint, CASE WHEN ok THEN length(text) % 10 / 10.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence_score, CASE WHEN ok THEN 't' ELSE '' END AS thinking_content,
-        '1' AS schema_version, '1' AS prompt_version, 'pending' AS validation_status, CASE WHEN NOT ok THEN err END AS parse_error, CASE WHEN NOT ok THEN 'not json' END AS raw_response, (turn + 1)::BIGINT AS source_page,
+        '1' AS schema_version, '1' AS prompt_version, 'pending' AS validation_status, CASE WHEN NOT ok THEN err END AS parse_error, CASE WHEN NOT ok THEN 'not json' END AS raw_response, CASE WHEN ok THEN length(text) % 10 / 10.0::DOUBLE END AS stated_confidence, (turn + 1)::BIGINT AS source_page,
         md5(CASE WHEN ok THEN '' ELSE {_FALLBACK} END) AS fallback_md5 FROM v""",
     "route_structured": f"WITH {_ENV} SELECT cid AS chunk_id, reply AS extraction_result FROM v WHERE ok",
     "route_fallback": f"WITH {_ENV} SELECT cid AS chunk_id, err AS parse_error FROM v WHERE NOT ok",
@@ -403,9 +473,9 @@ ORACLE_SQL = {
     "merge_first_non_null": f"WITH {_SCALAR} SELECT conv_id, arg_min(value, first) AS value FROM g GROUP BY conv_id",
     "merge_scalar_provenance": f"WITH {_SCALAR} SELECT conv_id, arg_min(chunks, first) AS chunks FROM g GROUP BY conv_id",
     "merge_collect": f"WITH {_SCALAR} SELECT conv_id, value, chunks FROM g",
-    "merge_entities": f"""WITH {_ITEMS} SELECT conv_id, arg_min(name, (turn, pos)) AS name, arg_min(depth, (turn, pos)) AS depth, arg_min(temperature, (turn, pos)) FILTER (temperature IS NOT NULL) AS temperature,
+    "merge_entities": f"""WITH {_ITEMS} SELECT conv_id, arg_min(name, (turn, pos)) AS name, arg_min(width, (turn, pos)) AS width, arg_min(height, (turn, pos)) FILTER (height IS NOT NULL) AS height,
         string_agg(cid, ',' ORDER BY turn, pos) AS chunks FROM k WHERE NOT anon GROUP BY conv_id, akey""",
-    "entity_conflicts": f"""WITH {_ITEMS}, n AS (SELECT conv_id, akey, turn, pos, cid, 'depth' AS field, depth AS value FROM k UNION ALL SELECT conv_id, akey, turn, pos, cid, 'temperature', temperature FROM k WHERE temperature IS NOT NULL),
+    "entity_conflicts": f"""WITH {_ITEMS}, n AS (SELECT conv_id, akey, turn, pos, cid, 'width' AS field, width AS value FROM k UNION ALL SELECT conv_id, akey, turn, pos, cid, 'height', height FROM k WHERE height IS NOT NULL),
         h AS (SELECT *, first_value(value) OVER (PARTITION BY conv_id, akey, field ORDER BY turn, pos) AS head FROM n) SELECT conv_id, akey, field, value, cid AS chunk_id, pos::BIGINT AS pos FROM h WHERE value <> head""",
     "entity_anonymous": f"WITH {_ITEMS} SELECT conv_id, turn::BIGINT AS turn, pos::BIGINT AS pos, cid AS chunks FROM k WHERE anon",
     "entity_nested_list": f"""WITH {_ITEMS}, r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, akey ORDER BY turn, pos) AS rk FROM k WHERE NOT anon),
@@ -425,4 +495,5 @@ ORACLE_SQL = {
         n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id)
         SELECT conv_id, '{{"title":' || coalesce('"' || f.value || '"', 'null') || ',"words":' || coalesce(l.vals, '[]') || ',"missing":null,"_provenance":{{' || array_to_string(list_filter(['"title":' || f.src, '"words":' || l.prov], lambda x: x IS NOT NULL), ',')
         || '}},"_stats":{{"chunks_merged":' || n.n || ',"chunks_failed":0,"confidence_min":null,"confidence_avg":null}}}}' AS all_info FROM n LEFT JOIN l USING (conv_id) LEFT JOIN f USING (conv_id)""",
+    "all_info_entities": f"WITH {_ALL_ENTITIES}",
 }
