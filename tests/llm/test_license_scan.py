@@ -1,4 +1,6 @@
+import random
 import re
+import re._parser as sre
 
 from tessera.llm import license_scan as L
 from tessera.llm.license_rules import BASE, KINDS, load
@@ -22,7 +24,7 @@ def brute(text):
     hits = [(i, lab) for p, lab in BASE for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     # every rule over the plain words, no prefilter; then suppression pair by pair
     line, found = " " + " ".join(w) + " ", []
-    for n, (kind, label, _, pat) in enumerate(load()):
+    for n, (kind, label, pat) in enumerate(load()):
         for m in re.finditer("(?<= )(?:" + pat.replace("( \\w+)", "( [^ ]+)") + ")(?= )", line):
             s = line[: m.start()].count(" ") - 1
             found.append((s, s + len(m.group().split()), KINDS[kind][0], n, label))
@@ -45,10 +47,47 @@ def test_against_brute_force(spark):
     assert all(0 <= r.score <= 1 for r in L.license_report(df).collect())
 
 
-def test_each_rule_has_a_stem():
+def made(items, rnd):
+    """A text that the parsed pattern matches."""
+    out = []
+    for op, arg in items:
+        if op is sre.LITERAL:
+            out.append(chr(arg))
+        elif op is sre.IN:
+            op, x = rnd.choice(arg)
+            out.append(chr(x) if op is sre.LITERAL else rnd.choice("123") if x is sre.CATEGORY_DIGIT else rnd.choice("xyz"))
+        elif op is sre.SUBPATTERN:
+            out.append(made(arg[3], rnd))
+        elif op is sre.BRANCH:
+            out.append(made(rnd.choice(arg[1]), rnd))
+        else:
+            low, high, sub = arg
+            out += [made(sub, rnd) for _ in range(rnd.randint(low, min(high, low + 3)))]
+    return "".join(out)
+
+
+def test_no_rule_loses_a_match_to_its_keywords_or_the_stems(spark):
+    rnd = random.Random(7)
     assert len(load()) > 200
-    for _, _, keyword, _ in load():
-        assert keyword == keyword.strip() and keyword
+    texts = []
+    for kind, label, pattern in load():
+        held = L.keywords(pattern)
+        assert 0 < len(held) <= L.ALTERNATIVES and all(any(s in k for s in L.STEMS) for k in held)
+        for _ in range(12):
+            t = made(sre.parse(pattern).data, rnd)
+            assert re.fullmatch(pattern, t) and any(k in f" {t} " for k in held), (pattern, t)
+        texts += [f"q {t}, Q!", f"Q.{t.upper()}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r)[:7] for r in L.license_report(df).collect())
+    assert got == [(i, *brute(t)) for i, t in enumerate(texts)]
+
+
+def test_probe_texts(spark):
+    probes = ["Released under the Expat License.", "Licensed under the PSF License", "do what the fuck you want to public license", "as long as you retain this notice you can do whatever you want with this stuff",
+              "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.", "Licensed under the EUPL, version 1.2", "released under the GNU Library General Public License"]
+    want = ["mit", "python-2.0", "wtfpl", "beerware", "gpl", "eupl-1.2", "lgpl"]
+    df = spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string")
+    assert [r.labels for r in L.license_report(df).orderBy("doc_id").collect()] == want
 
 
 def test_empty(spark):
