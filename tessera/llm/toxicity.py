@@ -14,6 +14,7 @@ weights it holds.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -22,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.learn import fit_logistic, held_out, labelled_sample, sigmoid, texts_of
-from tessera.runtime import Scratch, ship_package
+from tessera.llm.learn import fit_logistic, held_out, labelled_sample, sigmoid, slices, texts_of
+from tessera.runtime import Scratch, ship_package, spread
 
 #: Characters of the model: word boundary, a-z, digit, other letter, anything else in a word.
 SYMBOLS = 30
@@ -68,9 +69,16 @@ def _symbol_table() -> np.ndarray:
 _TABLE = _symbol_table()
 
 
+#: The same for code points; the last stands for all above U+00FF, which count as other letters.
+_POINTS = np.append(_TABLE, 28)
+
+
 def symbols(text: str) -> np.ndarray:
-    """Model characters of a text. Characters above U+00FF count as other letters."""
-    return _TABLE[np.frombuffer(text.lower().encode("latin-1", "replace").replace(b"?", b"\xe0"), np.uint8)] if not text.isascii() else _TABLE[np.frombuffer(text.lower().encode(), np.uint8)]
+    """Model characters of a text."""
+    low = text.lower()
+    if low.isascii():
+        return _TABLE[np.frombuffer(low.encode(), np.uint8)]
+    return _POINTS[np.minimum(np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32), 256)]
 
 
 def count_fourgrams(docs: DataFrame, text: str) -> DataFrame:
@@ -167,7 +175,7 @@ _OPTIONS = {c: tuple((x, float(np.log(p)), _symbol(x)) for x, p in [*stands.item
 class Restorer:
     def __init__(self, lm: np.ndarray):
         self.lm = lm.tolist()
-        mark = lm[::997].tobytes()
+        mark = hashlib.blake2b(lm.tobytes()).digest()
         self.memo = _memos.setdefault(mark, {})
 
     def word(self, piece: str) -> str:
@@ -238,80 +246,102 @@ class Weights:
                     x = table.get(w[:n])
                     if x is not None and x > best.get(w, 0.0):
                         best[w] = x
-        v = sorted(best.values(), reverse=True)
-        return (sum(v[:6]), float(len(v)), max(v, default=0.0))
+        v = best.values()
+        return (float(sum(v)), float(len(v)), max(v, default=0.0))
 
     def score(self, totals: np.ndarray) -> np.ndarray:
-        x = np.column_stack([totals[:, 0] / 10, np.log1p(totals[:, 1]), totals[:, 2] / 5])
-        return sigmoid(x @ self.map[:-1] + self.map[-1])
-
-
-def learn_weights(samples: list[set[str]], y: np.ndarray, min_count: int = 4) -> Weights:
-    """Log ratios of document shares, for keys in min_count toxic texts at least and over three times as likely there."""
-    n1, n0 = max((y == 1).sum(), 1), max((y == 0).sum(), 1)
-    counts: tuple[dict[str, int], dict[str, int]] = ({}, {})
-    for t in (1, 0):
-        c = counts[t]
-        for words, v in zip(samples, y):
-            if v == t:
-                for k in keys_of(words):
-                    if t or k in counts[1]:
-                        c[k] = c.get(k, 0) + 1
-        if t:
-            for k in [k for k, n in c.items() if n < min_count]:
-                del c[k]
+        return sigmoid(inputs(totals) @ self.map[:-1] + self.map[-1])
+
+
+def weights_of(counts: dict[str, tuple[int, int]], n1: int, n0: int) -> Weights:
+    """Log ratios of document shares, for keys over three times as likely in toxic texts and far beyond chance there.
+
+    counts: in how many toxic texts and in how many others a key stands, of n1 and n0.
+    """
+    n1, n0 = max(n1, 1), max(n0, 1)
     weight = {}
-    for k, a in counts[1].items():
-        b = counts[0].get(k, 0)
+    for k, (a, b) in sorted(counts.items()):
         lift = np.log((a + 0.1) / n1) - np.log((b + 0.5) / n0)
         expect = (a + b) * n1 / (n1 + n0)
         if lift > 1.1 and (a - expect) / np.sqrt(expect + 1e-9) > 5:
             weight[k] = float(min(lift, 8.0))
-    w = Weights(weight, np.array([0.0, 0.0, 0.0, 0.0]))
-    x = np.array([w.totals(s) for s in samples]).reshape(-1, 3)
-    w.map = fit_logistic(np.column_stack([x[:, 0] / 10, np.log1p(x[:, 1]), x[:, 2] / 5]), y, l2=1e-4)
-    return w
+    return Weights(weight, np.zeros(4))
+
+
+def inputs(totals: np.ndarray) -> np.ndarray:
+    return np.column_stack([totals[:, 0] / 10, np.log1p(totals[:, 1]), totals[:, 2] / 5])
+
 
+def train(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS, min_count: int = 4, seed: int = 42, id_col: str = "doc_id", text: str = "text"
+) -> tuple[np.ndarray, Weights | None]:
+    """The language model over all texts, and the weights from at most sample_rows labelled ones.
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS, seed: int = 42, id_col: str = "doc_id", text: str = "text") -> tuple[np.ndarray, Weights | None]:
-    """The language model over all texts and the weights from at most sample_rows labelled ones."""
+    Keys are counted where the texts are; the driver gets those that stand in min_count toxic texts at least,
+    and three numbers a labelled text.
+    """
     spark = docs.sparkSession
-    lm = language_model(Scratch(spark, "toxicity").keep(count_fourgrams(docs, text), "fourgrams"))
+    scratch = Scratch(spark, "toxicity")
+    lm = language_model(scratch.keep(count_fourgrams(docs, text), "fourgrams"))
     shared = spark.sparkContext.broadcast(lm)
     known = labelled_sample(labels, label, sample_rows, seed, id_col)
-    picked = texts_of(docs, known, id_col, text)
+    picked = spread(texts_of(docs, known, id_col, text).select("__text", F.col("__id").cast("long"), F.col("__y").cast("int")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = Restorer(shared.value)
-        for b in batches:
-            for n, t in enumerate(b.column(0).to_pylist()):
-                words = " ".join(sorted(r.words(t)))
-                yield pa.RecordBatch.from_arrays([b.column(1)[n : n + 1].cast(pa.int64()), b.column(2)[n : n + 1].cast(pa.int32()), pa.array([words])], names=["id", "y", "w"])
+        for b in slices(batches):
+            words = pa.array([sorted(r.words(t)) for t in b.column(0).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), words], names=["id", "y", "w"])
 
-    got = picked.select("__text", "__id", "__y").mapInArrow(run, "id long, y int, w string").toArrow().sort_by([("id", "ascending")])
-    y = got["y"].to_numpy()
-    if not ((y == 1).any() and (y == 0).any()):
+    read_texts = scratch.keep(picked.mapInArrow(read, "id long, y int, w array<string>"), "labelled")
+    sizes = {r["y"]: r["count"] for r in read_texts.groupBy("y").count().collect()}
+    if not (sizes.get(1) and sizes.get(0)):
         return lm, None
-    return lm, learn_weights([set(w.split()) for w in got["w"].to_pylist()], y)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: dict[str, list[int]] = {}
+        table = lambda: pa.RecordBatch.from_pydict({"k": list(n), "a": [x[0] for x in n.values()], "b": [x[1] for x in n.values()]})
+        for b in slices(batches):
+            for y, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                for k in keys_of(set(w)):
+                    n.setdefault(k, [0, 0])[1 - y] += 1
+            if len(n) > 100_000:
+                yield table()
+                n.clear()
+        if n:
+            yield table()
+
+    keys = read_texts.mapInArrow(count, "k string, a long, b long").groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where(F.col("a") >= min_count)
+    weights = weights_of({r["k"]: (r["a"], r["b"]) for r in keys.collect()}, sizes[1], sizes[0])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            t = np.array([weights.totals(set(w)) for w in b.column(2).to_pylist()]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, pa.float64()) for c in t.T)], names=["id", "y", "s", "n", "m"])
+
+    got = read_texts.mapInArrow(total, "id long, y int, s double, n double, m double").toArrow().sort_by([("id", "ascending")])
+    weights.map = fit_logistic(inputs(np.column_stack([got[c].to_numpy() for c in ("s", "n", "m")])), got["y"].to_numpy(), l2=1e-4)
+    return lm, weights
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """One row per document row: id, held_out, score, predicted, and the restored words that weigh most.
 
     Null texts are scored as empty ones. Ids may be null or repeat. Without labels of both kinds every
-    score is 0; an empty table gives an empty result. Labels, language, source and id are no inputs.
+    score is 0; an empty table gives an empty result. Labels, language, source and id are no inputs, and
+    other columns, whatever their names, are not read. Texts of any length are read whole.
     """
     spark = docs.sparkSession
     ship_package(spark)
     lm, weights = train(docs, labels, id_col=id_col, text=text, **params)
     shared = spark.sparkContext.broadcast((lm, weights))
     kind = docs.schema[id_col].dataType
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    rows = spread(docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lm, weights = shared.value
         r = Restorer(lm)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1).to_pylist()
             if weights is None:
                 s, shown = np.zeros(len(texts)), [""] * len(texts)
