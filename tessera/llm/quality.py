@@ -1,12 +1,13 @@
 """Quality classifier by positive-unlabelled learning with the non-negative unbiased risk.
 
-Trusted positives are labelled rows of quality 1; the unlabelled texts are a sample of the whole
-table; the class prior is estimated as the share of positives among labelled rows (or, if no
-negative is labelled, taken as one half).
-The network minimises  prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))  with the sigmoid loss, and
-where the second term is negative it is stepped back up. Its output becomes a probability by a
-logistic fit on labelled rows of the training fold. Features are shares and repetitions measured
-on the whole text; no label, language, source or id is among them.
+Trusted positives are labelled rows of quality 1; the unlabelled texts are a share of the whole table,
+which grows with it up to a bound. The class prior is estimated from positives and unlabelled texts alone:
+a first scorer tells the two apart, and where its scores are highest the unlabelled texts' share over the
+positives' share is smallest and comes down to the prior (Blanchard et al., 2010; Scott, 2015). The network
+then minimises  prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))  with the sigmoid loss, and where the second
+term is negative it is stepped back up (Kiryo et al., 2017). Labelled negatives of the training fold play no
+part in it; they and the positives only turn its output into a probability, by a logistic fit. Features are
+shares and repetitions measured on the whole text; no label, language, source or id is among them.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.learn import Adam, fit_logistic, held_out, labelled_sample, sample_ids, sigmoid, texts_of
-from tessera.runtime import ship_package
+from tessera.runtime import ship_package, spread
 
 N_CLASSES = 11
 N_FEATURES = 2 * N_CLASSES + 14
-#: At most so many labelled rows, and as many unlabelled ones, are gathered for training.
-SAMPLE_ROWS = 8000
+#: At most so many labelled rows, and so many unlabelled ones, are gathered for training.
+SAMPLE_ROWS, UNLABELLED_ROWS = 8000, 16_000
 
 
 def _byte_classes() -> np.ndarray:
@@ -110,12 +111,38 @@ def fit_pu(pos: np.ndarray, unl: np.ndarray, prior: float, hidden: int = 24, epo
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, seed: int = 42, id_col: str = "doc_id", text: str = "text") -> Network | None:
-    """The fitted network, or nothing if no positive is labelled. Gathers at most 2 * sample_rows feature rows."""
+def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 42) -> float:
+    """Share of positives among the unlabelled rows.
+
+    A logistic scorer is fitted on one half of each; on the other half, the least ratio of the unlabelled to
+    the positive share above a score, with a margin of one standard error, over thresholds that leave a tenth
+    of the positives at least.
+    """
+    rng = np.random.default_rng(seed)
+    p, u = rng.permutation(len(pos)), rng.permutation(len(unl))
+    both = np.concatenate([pos, unl])
+    mean, sd = both.mean(axis=0), both.std(axis=0) + 1e-6
+    scale = lambda x: np.clip((x - mean) / sd, -6, 6)
+    pa_, pb, ua, ub = (scale(x) for x in (pos[p[::2]], pos[p[1::2]], unl[u[::2]], unl[u[1::2]]))
+    if not len(pb) or not len(ub):
+        return 0.5
+    w = fit_logistic(np.concatenate([pa_, ua]), np.array([1] * len(pa_) + [0] * len(ua)), l2=1e-2)
+    sp, su = pb @ w[:-1] + w[-1], ub @ w[:-1] + w[-1]
+    cuts = np.unique(np.quantile(sp, np.linspace(0, 0.9, 46)))
+    fp = np.array([(sp >= c).mean() for c in cuts])
+    fu = np.array([(su >= c).mean() for c in cuts])
+    high = (fu + np.sqrt(fu * (1 - fu) / len(su))) / np.maximum(fp - np.sqrt(fp * (1 - fp) / len(sp)), 1e-9)
+    return float(np.clip(high.min(), 0.02, 0.98))
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, unlabelled_rows: int = UNLABELLED_ROWS, seed: int = 42, id_col: str = "doc_id", text: str = "text"
+) -> Network | None:
+    """The fitted network, or nothing if no positive is labelled. Gathers at most sample_rows + unlabelled_rows feature rows."""
     spark = docs.sparkSession
     ship_package(spark)
     known = labelled_sample(labels, label, sample_rows, seed, id_col)
-    ids = sample_ids(docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("__id")), sample_rows, seed + 1).distinct()
+    ids = sample_ids(docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("__id")), unlabelled_rows, seed + 1).distinct()
     marks = known.withColumn("__u", F.lit(0)).union(ids.select("__id", F.lit(-1).alias("__y"), F.lit(1).alias("__u")))
     picked = texts_of(docs, marks.groupBy("__id").agg(F.max("__y").alias("__y"), F.max("__u").alias("__u")), id_col, text)
 
@@ -124,16 +151,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
             f = [features(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.int64()), b.column(2).cast(pa.int32()), b.column(3).cast(pa.int32()), pa.array(f, pa.list_(pa.float64()))], names=["id", "y", "u", "f"])
 
-    got = picked.select("__text", "__id", "__y", "__u").mapInArrow(run, "id long, y int, u int, f array<double>").toArrow().sort_by([("id", "ascending")])
+    got = spread(picked.select("__text", "__id", "__y", "__u")).mapInArrow(run, "id long, y int, u int, f array<double>").toArrow().sort_by([("id", "ascending")])
     y, u = got["y"].to_numpy(), got["u"].to_numpy()
     x = np.array(got["f"].to_pylist(), np.float64).reshape(-1, N_FEATURES)
     if not (y == 1).any():
         return None
-    seen = y >= 0
-    prior = float(np.clip(y[seen].mean(), 0.02, 0.98)) if (y == 0).any() else 0.5
-    net = fit_pu(x[y == 1], x[u == 1] if (u == 1).any() else x, prior, seed=seed)
+    pos, unl = x[y == 1], x[u == 1] if (u == 1).any() else x
+    net = fit_pu(pos, unl, estimate_prior(pos, unl, seed), seed=seed)
     if (y == 0).any():
-        net.map = fit_logistic(net.raw(net.scale(x[seen]))[1][:, None], y[seen])
+        net.map = fit_logistic(net.raw(net.scale(x[y >= 0]))[1][:, None], y[y >= 0])
         net.map[0] = max(net.map[0], 1e-3)
     return net
 
@@ -149,14 +175,17 @@ def score_documents(docs: DataFrame, net: Network | None, text: str = "text", ke
             s = np.full(len(texts), 0.5) if net is None else net.score(np.array([features(t) for t in texts]).reshape(-1, N_FEATURES))
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(s, pa.float64())], names=[*keep, out])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text")).mapInArrow(run, schema)
+    # within, columns go by their place
+    placed = docs.select(*[F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(keep)], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+    return spread(placed).mapInArrow(run, schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """One row per document row: id, held_out, score, predicted.
 
     Null texts are scored as empty ones. Ids may be null (held out as crc32 of the empty text says) or
-    repeat. Without a labelled positive every score is 0.5; an empty table gives an empty result.
+    repeat. Without a labelled positive every score is 0.5; an empty table gives an empty result. Other
+    columns, whatever their names, are not read. Texts of any length are read whole.
     """
     net = train(docs, labels, id_col=id_col, text=text, **params)
     rows = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text}`").alias("text" if id_col != "text" else "body"))
@@ -165,10 +194,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, i
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text: str = "text", **params) -> DataFrame:
-    """The document rows scored at the threshold or above, columns as they are."""
+    """The document rows scored at the threshold or above, all columns as they are, whatever their names.
+
+    Rows are scored as in ``quality_scores``: null texts as empty ones, and every row 0.5 where no positive is
+    labelled, which keeps all rows at a threshold of 0.5 or less and none above it.
+    """
     net = train(docs, labels, id_col=id_col, text=text, **params)
     name = "__score"
     while name in docs.columns:
         name += "_"
-    out = score_documents(docs, net, text, docs.columns, name)
-    return out.where(F.col(name) >= threshold).drop(name) if net is not None else docs
+    return score_documents(docs, net, text, docs.columns, name).where(F.col(f"`{name}`") >= threshold).drop(name)

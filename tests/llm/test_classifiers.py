@@ -45,13 +45,29 @@ def test_quality(spark):
     truth = {i: q for i, q, _ in labels}
     right = [(r.predicted == truth[r.doc_id]) for r in got if r.held_out and r.doc_id in truth and r.doc_id != 1]
     assert len(right) > 50 and np.mean(right) > 0.9
-    kept = Q.keep_good(df, lab)
-    assert kept.columns == df.columns
     none = Q.quality_scores(df, spark.createDataFrame([], LABEL)).collect()
     assert {r.score for r in none} == {0.5}
+    # the stage: columns of any name stay, its decisions are those of the scores
+    clash = df.selectExpr("*", "7 AS score", "8 AS __score", "9 AS __text", "10 AS held_out", "text AS __id", "11 AS __u")
+    kept = Q.keep_good(clash, lab)
+    assert kept.columns == clash.columns
+    good = sorted(((r.doc_id, r.score) for r in got if r.predicted), key=repr)
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [i for i, _ in good] and kept.first().score == 7 and kept.first()["__score"] == 8
+    assert Q.keep_good(df, spark.createDataFrame([], LABEL)).count() == 0 and Q.keep_good(df, spark.createDataFrame([], LABEL), 0.5).count() == df.count()
+    same = Q.quality_scores(clash, lab).collect()
+    assert sorted(map(repr, same)) == sorted(map(repr, got))
     assert Q.quality_scores(spark.createDataFrame([], DOC), lab).collect() == []
 
 
+def test_prior_is_estimated_without_negatives():
+    rng = np.random.default_rng(5)
+    for prior in (0.2, 0.5, 0.8):
+        good = lambda n: rng.normal(1.5, 1, (n, 6))
+        bad = rng.normal(-1.5, 1, (round(6000 * (1 - prior)), 6))
+        got = Q.estimate_prior(good(3000), np.concatenate([good(round(6000 * prior)), bad]))
+        assert abs(got - prior) < 0.06, (prior, got)
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark):
     docs, labels = corpus(200)
     df = spark.createDataFrame(docs, DOC)
@@ -73,6 +89,38 @@ def test_toxicity(spark):
     assert all(r.predicted == 1 for r in got if r.doc_id in (9100, 9101))
     assert {r.score for r in T.toxicity_scores(df, spark.createDataFrame([], LABEL)).collect()} == {0.0}
     assert T.toxicity_scores(spark.createDataFrame([], DOC), lab).collect() == []
+    clash = df.selectExpr("*", "7 AS score", "9 AS __text", "10 AS held_out", "text AS __id", "text AS w")
+    assert sorted(map(repr, T.toxicity_scores(clash, lab).collect())) == sorted(map(repr, got))
+
+
+def test_symbols_of_other_letters_and_marks():
+    assert T.symbols("a?é語ß").tolist() == [1, 0, 28, 28, 28] and T.symbols("a?").tolist() == [1, 0]
+
+
+def test_scores_against_a_plain_computation(spark):
+    """Counts, weights and totals by loops over the texts, from the same restored words."""
+    docs, labels = corpus(240)
+    lm, weights = T.train(spark.createDataFrame(docs, DOC), spark.createDataFrame(labels, LABEL))
+    r = T.Restorer(model_of("\n".join(d[1] for d in docs)))
+    n = np.zeros(T.SPACE)
+    for _, t, *_ in docs:
+        s = [0, 0, 0, *T.symbols(t).tolist(), 0, 0, 0]
+        for q in zip(s, s[1:], s[2:], s[3:]):
+            n[((q[0] * 30 + q[1]) * 30 + q[2]) * 30 + q[3]] += 1
+    codes = np.flatnonzero(n)
+    plain = T.language_model(type("Counts", (), {"toArrow": lambda self: pa.table({"code": codes, "n": n[codes]})})())
+    assert np.array_equal(lm, plain)
+    r, truth = T.Restorer(plain), {i: t for i, _, t in labels if not held(i)}
+    words = {i: r.words(t) for i, t, *_ in docs if i in truth}
+    n1, n0 = sum(truth.values()), len(truth) - sum(truth.values())
+    want = {}
+    for k in set().union(*[T.keys_of(w) for w in words.values()]):
+        a, b = (sum(k in T.keys_of(words[i]) for i in words if truth[i] == v) for v in (1, 0))
+        expect = (a + b) * n1 / len(truth)
+        lift = np.log((a + 0.1) / n1) - np.log((b + 0.5) / n0)
+        if a >= 4 and lift > 1.1 and (a - expect) / np.sqrt(expect + 1e-9) > 5:
+            want[k] = min(lift, 8.0)
+    assert weights.weight.keys() == want.keys() and all(abs(weights.weight[k] - x) < 1e-9 for k, x in want.items())
 
 
 def model_of(text):
