@@ -4,8 +4,9 @@ A 64-bit fingerprint is a ring of five segments. If two fingerprints differ in a
 some segment starts a chain in which the first k segments differ in at most floor(4k/5) bits for
 every k: 0, 1, 2, 3, 4. The index holds, per fingerprint and start, the exact first segment with any
 two of the four halves of the next two segments (two differences leave two halves untouched), so
-every pair that can pass shares a key of about 26 bits. Pairs are pruned by the chain budgets before
-the full Hamming check.
+every pair that can pass shares a key of about 26 bits. From ``DEEP_FROM`` fingerprints on, it takes
+any three of the six halves of the next three segments, about 32 bits, so that buckets stay small.
+Pairs are pruned by the chain budgets before the full Hamming check.
 
 Copies share a fingerprint and are one node. Within a bucket, members are first tested against a
 few pivots, which is linear in the bucket; only members of buckets that still hold several
@@ -24,11 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import connected_components
-from tessera.runtime import Scratch, ship_package
+from tessera.llm.text import row_key
+from tessera.runtime import Scratch, ship_package, spread
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SHINGLE_BLOCK = 1 << 15
 PIVOTS = 4
+#: Fingerprints from which the index takes longer keys.
+DEEP_FROM = 1 << 30
 
 
 def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
@@ -77,22 +81,33 @@ def _bits(fp: Column, shift: int, width: int) -> Column:
     return x.bitwiseAND(F.lit((1 << width) - 1))
 
 
-def index_keys(fp: Column, max_diff: int = 4) -> Column:
-    """Keys under which a fingerprint is indexed: chain start, first segment, two exact quarters of the next two."""
+def _choices(max_diff: int, depth: int) -> list[tuple[int, ...]]:
+    """Which halves of the ``depth`` segments after the first are exact: as many as the chain's budget leaves untouched."""
+    m = len(segments(max_diff))
+    budget = (depth + 1) * max_diff // m
+    return list(combinations(range(2 * depth), max(2 * depth - budget, 0)))
+
+
+def index_keys(fp: Column, max_diff: int = 4, depth: int = 2) -> Column:
+    """Keys under which a fingerprint is indexed: chain start and choice, first segment, exact halves of the next ones."""
     segs = segments(max_diff)
+    choices = _choices(max_diff, depth)
     keys = []
     for i, (shift, width) in enumerate(segs):
-        quarters = []
-        for s, w in (segs[(i + 1) % len(segs)], segs[(i + 2) % len(segs)]):
-            quarters += [(s, w // 2), (s + w // 2, w - w // 2)]
-        for c, (p, q) in enumerate(combinations(quarters, 2)):
-            key = F.lit((6 * i + c) << 48).bitwiseOR(F.shiftleft(_bits(fp, shift, width), q[1] + p[1]))
-            keys.append(key.bitwiseOR(F.shiftleft(_bits(fp, *p), q[1])).bitwiseOR(_bits(fp, *q)))
+        halves = []
+        for k in range(1, depth + 1):
+            s, w = segs[(i + k) % len(segs)]
+            halves += [(s, w // 2), (s + w // 2, w - w // 2)]
+        for c, chosen in enumerate(choices):
+            key = _bits(fp, shift, width)
+            for h in chosen:
+                key = F.shiftleft(key, halves[h][1]).bitwiseOR(_bits(fp, *halves[h]))
+            keys.append(F.lit((len(choices) * i + c) << 48).bitwiseOR(key))
     return F.array(*keys)
 
 
-def chain_start(key: Column) -> Column:
-    return F.floor(F.shiftright(key, 48) / 6).cast("int")
+def chain_start(key: Column, max_diff: int = 4, depth: int = 2) -> Column:
+    return F.floor(F.shiftright(key, 48) / len(_choices(max_diff, depth))).cast("int")
 
 
 def within(a: Column, b: Column, start: Column, max_diff: int = 4) -> Column:
@@ -111,10 +126,11 @@ def within(a: Column, b: Column, start: Column, max_diff: int = 4) -> Column:
     return chains & (F.bit_count(x) <= max_diff)
 
 
-def link_fingerprints(fps: DataFrame, scratch: Scratch, max_diff: int = 4) -> DataFrame:
+def link_fingerprints(fps: DataFrame, scratch: Scratch, max_diff: int = 4, depth: int | None = None) -> DataFrame:
     """Distinct fingerprints (column fp) -> (node, root): those with links, under their smallest member."""
-    start = chain_start(F.col("key"))
-    keys = fps.select("fp", F.explode(index_keys(F.col("fp"), max_diff)).alias("key"))
+    depth = depth or (3 if fps.count() >= DEEP_FROM else 2)
+    start = chain_start(F.col("key"), max_diff, depth)
+    keys = fps.select("fp", F.explode(index_keys(F.col("fp"), max_diff, depth)).alias("key"))
     keys = scratch.keep(keys, "index")
     picks = [F.min(F.struct(F.xxhash64("fp", F.lit(r)).alias("h"), F.col("fp"))).getField("fp").alias(f"p{r}") for r in range(PIVOTS)]
     buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *picks).where("n > 1")
@@ -132,7 +148,7 @@ def link_fingerprints(fps: DataFrame, scratch: Scratch, max_diff: int = 4) -> Da
     a, b = rest.alias("a"), rest.alias("b")
     apart = (
         a.hint("merge")
-        .join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") < F.col("b.comp")) & within(F.col("a.fp"), F.col("b.fp"), chain_start(F.col("a.key")), max_diff))
+        .join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") < F.col("b.comp")) & within(F.col("a.fp"), F.col("b.fp"), chain_start(F.col("a.key"), max_diff, depth), max_diff))
         .select(F.col("a.comp").alias("u"), F.col("b.comp").alias("v"))
         .distinct()
     )
@@ -146,6 +162,19 @@ def link_fingerprints(fps: DataFrame, scratch: Scratch, max_diff: int = 4) -> Da
     return out
 
 
+def _groups(docs: DataFrame, id_col: str, text: str, shingle: int, seed: int, max_diff: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, a, b, fp), a and b telling texts apart, and labels (fp, root, component_id)."""
+    key = row_key(F.col(f"`{text}`"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), key["a"].alias("a"), key["b"].alias("b"), F.col(f"`{text}`").alias("text"))
+    fp = scratch.keep(add_fingerprints(spread(rows), "text", shingle, seed), "fingerprints")
+    nodes = scratch.keep(fp.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    comp = link_fingerprints(nodes.select("fp"), scratch, max_diff)
+    linked = scratch.keep(nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "linked")
+    # written before it is joined, so that the rows of a large component may be dealt to several tasks
+    smallest = scratch.keep(linked.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
+    return fp, scratch.keep(linked.join(smallest, "root").select("fp", "root", "component_id"), "labels")
+
+
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 4, seed: int = 42, max_diff: int = 4) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id (smallest id reachable).
 
@@ -153,21 +182,28 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", s
     null keep their row; they get the smallest id of their component, null if it has none. Repeated
     rows each return a row. Other columns, whatever their names, are not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "simhash")
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    fp = scratch.keep(add_fingerprints(rows, "text", shingle, seed), "fingerprints")
-    nodes = scratch.keep(fp.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    comp = link_fingerprints(nodes.select("fp"), scratch, max_diff)
-    linked = nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = scratch.keep(linked.join(smallest, "root").select("fp", "component_id"), "labels")
+    fp, labels = _groups(docs, id_col, text, shingle, seed, max_diff, Scratch(docs.sparkSession, "simhash"))
     return fp.join(labels, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """Documents whose id is their component's smallest; of rows repeated under that id, one; ids that are null stay."""
-    found = simhash_dedup(docs, id_col, **params)
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
-    named = docs.where(F.col(f"`{id_col}`").isNotNull()).join(kept, F.col(f"`{id_col}`") == F.col("__kept"), "left_semi")
-    return named.dropDuplicates([id_col]).union(docs.where(F.col(f"`{id_col}`").isNull()))
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 4, seed: int = 42, max_diff: int = 4) -> DataFrame:
+    """One document row of each group of near-duplicates: that of the smallest id; all columns as they are, whatever their names.
+
+    Rows without an id come last in their group, and rows of one id are ordered by their text's hash, so rows that
+    share an id but not a group are both kept. Of rows that repeat an id and text, one is kept. Null texts group like
+    empty ones; an empty table gives an empty result.
+    """
+    scratch = Scratch(docs.sparkSession, "simhash")
+    fp, labels = _groups(docs, id_col, text, shingle, seed, max_diff, scratch)
+    own = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("a"), F.col("b"))
+    first = fp.groupBy("fp").agg(F.min(own).alias("first"))
+    kept = first.join(labels, "fp").groupBy("root").agg(F.min("first").alias("k")).select("k.id", "k.a", "k.b")
+    kept = scratch.keep(kept, "kept").alias("k")
+    key = row_key(F.col(f"d.row.`{text}`"))
+    mine = F.col(f"d.row.`{id_col}`")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).alias("d")
+    out = packed.join(kept, mine.eqNullSafe(F.col("k.id")) & (key["a"] == F.col("k.a")) & (key["b"] == F.col("k.b")), "left_semi")
+    if not fp.groupBy("id", "a", "b").count().where("count > 1").isEmpty():
+        again = row_key(F.col(f"row.`{text}`"))
+        out = out.select("row", F.col(f"row.`{id_col}`").alias("i"), again["a"].alias("a"), again["b"].alias("b")).dropDuplicates(["i", "a", "b"])
+    return out.select("row.*")

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 import xxhash
 
 from tessera.llm import simhash
@@ -69,7 +70,8 @@ def test_near_copies(spark):
     check(spark, rows)
 
 
-def test_links_fingerprints(spark):
+@pytest.mark.parametrize("depth", [2, 3])
+def test_links_fingerprints(spark, depth):
     from tessera.runtime import Scratch
 
     rnd = random.Random(3)
@@ -82,7 +84,7 @@ def test_links_fingerprints(spark):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
     got = {}
-    for n, r in simhash.link_fingerprints(df, Scratch(spark, "t")).collect():
+    for n, r in simhash.link_fingerprints(df, Scratch(spark, "t"), depth=depth).collect():
         got.setdefault(r, set()).add(n & (1 << 64) - 1)
     groups = {}
     for f, r in brute_components(fps).items():
@@ -91,7 +93,18 @@ def test_links_fingerprints(spark):
 
 
 def test_one_of_each(spark):
-    df = spark.createDataFrame([(*r, "x") for r in ROWS], "doc_id long, text string, fp string")
+    rnd = random.Random(8)
+    base = [" ".join(rnd.choice("abcdefgh") + str(rnd.randrange(400)) for _ in range(120)) for _ in range(3)]
+    rows = [*ROWS, (20, base[0]), (20, base[1]), (21, base[0] + " more"), (22, base[1]), (None, base[2]), (None, base[2]), (None, base[0])]
+    df = spark.createDataFrame([(i, t, "f", 1, "k", 2) for i, t in rows], "doc_id long, text string, fp string, id int, __kept string, row int")
     out = simhash.keep_one_of_each(df)
     assert out.columns == df.columns
-    assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == [1, 3, 7, 9]
+    comp = brute_components({brute_fp(t) for _, t in rows})
+    want = {}
+    for i, t in rows:
+        g = comp[brute_fp(t)]
+        best = min(want.get(g, (True, 0, None)), (i is None, i or 0, t), key=lambda x: (x[2] is None and x[0], x[0], x[1]))
+        want[g] = best if g in want else (i is None, i or 0, t)
+    got = sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect())
+    assert got == sorted((n, i) for n, i, _ in want.values())
+    assert simhash.keep_one_of_each(df.limit(0)).collect() == []
