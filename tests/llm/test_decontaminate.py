@@ -41,7 +41,7 @@ def tables(seed):
 @pytest.mark.parametrize("limit", [D.BROADCAST_WINDOWS, 0])
 def test_against_brute_force(spark, limit):
     docs, items = tables(1)
-    d = spark.createDataFrame([(*r, "w", 1) for r in docs], "doc_id long, text string, w string, id int")
+    d = spark.createDataFrame([(*r, "w", 1, 2, "r") for r in docs], "doc_id long, text string, w string, id int, __id int, row string")
     b = spark.createDataFrame(items, "item_id long, text string")
     key = lambda r: repr(tuple(r))
     got = D.decontaminate(d, b, broadcast_windows=limit).drop("spans").collect()
@@ -57,3 +57,5 @@ def test_empty(spark):
     assert D.decontaminate(spark.createDataFrame([], d), spark.createDataFrame([(1, "a b")], b)).collect() == []
     r = D.decontaminate(spark.createDataFrame([(1, "a b")], d), spark.createDataFrame([], b)).collect()
     assert [(x.n_words, x.n_hit, x.contaminated) for x in r] == [(2, 0, False)]
+    assert D.remove_contaminated(spark.createDataFrame([], d), spark.createDataFrame([(1, "a b")], b)).collect() == []
+    assert D.remove_contaminated(spark.createDataFrame([(None, "a b"), (1, None)], d), spark.createDataFrame([], b)).count() == 2
