@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.text import spaced_count
-from tessera.runtime import Scratch
+from tessera.runtime import Scratch, spread
 
 BROADCAST_SOURCES = 20_000
 BINS = 4096
@@ -78,30 +78,35 @@ def plan_mix(sized: DataFrame, scratch: Scratch, weights: tuple[int, ...] = (5,
 def mix(
     documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 42, id_col: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
-    """The documents' own columns and __size, __source_size, __target, __reps (times the mix takes the row).
+    """(row, size, source_size, target, reps): the document row as a struct, and how often the mix takes it.
 
     Texts that are null have size 0. A null source is a source of its own and the last one. Rows that
     are equal in id and text are drawn together. A source whose texts hold no words has target 0. With
-    no words at all, every target is 0; an empty table gives an empty one.
+    no words at all, every target is 0; an empty table gives an empty one. Other columns may have any names.
     """
     scratch = Scratch(documents.sparkSession, "mix")
+    documents = spread(documents)
     size, draw = spaced_count(F.col(f"`{text}`")), row_draw(F.col(f"`{id_col}`"), F.col(f"`{text}`"), seed)
     sized = documents.select(F.col(f"`{source}`").alias("source"), size.alias("size"), draw.alias("draw"))
     plan = plan_mix(sized, scratch, weights, max_epochs)
     held = F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
-    held = held.select(F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("whole").alias("__whole"), F.col("cut").alias("__cut"))
-    joined = documents.withColumn("__size", size).join(held, F.col(f"`{source}`").eqNullSafe(F.col("__source")))
-    return joined.withColumn("__reps", F.col("__whole") + F.when(draw < F.col("__cut"), 1).otherwise(0)).drop("__source", "__whole", "__cut")
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(f"`{source}`").alias("of"), size.alias("size"), draw.alias("draw"))
+    joined = rows.join(held, F.col("of").eqNullSafe(F.col("source")))
+    return joined.select("row", "size", "source_size", "target", (F.col("whole") + F.when(F.col("draw") < F.col("cut"), 1).otherwise(0)).alias("reps"))
 
 
 def mix_report(documents: DataFrame, **params) -> DataFrame:
     """One row per document row: id, size, source_size, target, taken."""
-    id_col = params.get("id_col", "doc_id")
-    out = mix(documents, **params)
-    return out.select(F.col(f"`{id_col}`").alias(id_col), F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__size") * F.col("__reps")).alias("taken"))
+    names = {k: params.get(k, v) for k, v in (("id_col", "doc_id"), ("text", "text"), ("source", "source"))}
+    lean = documents.select(*dict.fromkeys(names.values()))
+    out = mix(lean, **params)
+    return out.select(F.col(f"row.`{names['id_col']}`").alias(names["id_col"]), "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))
 
 
 def mixed_documents(documents: DataFrame, **params) -> DataFrame:
-    """The mix itself: every document row as often as it is taken."""
-    out = mix(documents, **params).where("__reps > 0")
-    return out.select(*[F.col(f"`{c}`") for c in documents.columns], F.explode(F.sequence(F.lit(1).cast("long"), "__reps")).alias("__n")).drop("__n")
+    """The mix itself: every document row as often as it is taken, all columns as they are, whatever their names.
+
+    A source of which nothing is wanted or that holds no words gives no rows; null texts count as in ``mix``.
+    """
+    out = mix(documents, **params).where("reps > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "reps"))).select("row.*")

@@ -30,23 +30,27 @@ def test_mix(spark):
     full = M.mix(df).collect()
     sizes, taken = {}, {}
     for r in full:
-        sizes[r.source] = sizes.get(r.source, 0) + r["__size"]
-        taken[r.source] = taken.get(r.source, 0) + r["__size"] * r["__reps"]
-        assert r["__reps"] <= 3
+        sizes[r.row.source] = sizes.get(r.row.source, 0) + r["size"]
+        taken[r.row.source] = taken.get(r.row.source, 0) + r["size"] * r["reps"]
+        assert r["reps"] <= 3
     order = sorted([s for s in sizes if s is not None]) + [None]
     target = water(sizes, {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)})
     for r in full:
-        assert r["__target"] == pytest.approx(target[r.source]) and r["__source_size"] == sizes[r.source]
+        assert r["target"] == pytest.approx(target[r.row.source]) and r["source_size"] == sizes[r.row.source]
     for s in sizes:
         assert abs(taken[s] - target[s]) <= 60
     again = M.mix_report(df.repartition(3)).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
-    copies = M.mixed_documents(df)
-    assert copies.columns == df.columns and copies.count() == sum(r["__reps"] for r in full)
+    clash = df.selectExpr("*", "7 AS __size", "8 AS __n", "9 AS reps", "'r' AS row", "10 AS draw", "11 AS target")
+    copies = M.mixed_documents(clash)
+    rows = copies.collect()
+    assert copies.columns == clash.columns and len(rows) == sum(r["reps"] for r in full)
+    assert {(r["__size"], r["__n"], r["reps"], r["row"], r["draw"], r["target"], r["size"]) for r in rows} == {(7, 8, 9, "r", 10, 11, 1)}
+    assert sorted(map(tuple, M.mix_report(clash).collect()), key=repr) == sorted(map(tuple, got), key=repr)
 
 
 def test_empty(spark):
     schema = "doc_id long, text string, source string"
-    assert M.mix_report(spark.createDataFrame([], schema)).collect() == []
+    assert M.mix_report(spark.createDataFrame([], schema)).collect() == [] and M.mixed_documents(spark.createDataFrame([], schema)).collect() == []
     r = M.mix_report(spark.createDataFrame([(1, "", "a"), (2, None, None)], schema)).collect()
     assert [(x.target, x.taken) for x in r] == [(0.0, 0), (0.0, 0)]
