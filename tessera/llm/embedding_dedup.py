@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 from tessera.llm.components import connected_components
 from tessera.runtime import Scratch, ship_package
 
-#: Pivots are as many as vectors / this, within the two bounds; they and nothing else reach the driver.
+#: Pivots are as many as vectors / this, 16 at least, and hold so many bytes at most; they and nothing else reach the driver.
 VECTORS_PER_PIVOT = 40
-MIN_PIVOTS, MAX_PIVOTS = 16, 4096
+MIN_PIVOTS, PIVOT_BYTES = 16, 32 << 20
 #: Pivots in a description, and the lists a vector is filed under (the nearest of them).
 LISTED, FILED = 12, 8
 SHARED = 2
@@ -59,8 +59,8 @@ def unit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def choose_pivots(vectors: DataFrame, n: int, seed: int) -> np.ndarray:
     """``n`` unit vectors of the n distinct ones whose hash is lowest."""
-    rows = vectors.orderBy(F.xxhash64(F.lit(seed), "name"), "name").limit(n).select("vec").collect()
-    return np.array([r["vec"] for r in rows], dtype=np.float64)
+    got = vectors.orderBy(F.xxhash64(F.lit(seed), "name"), "name").limit(n).select("vec").toArrow()["vec"].combine_chunks()
+    return got.flatten().to_numpy(zero_copy_only=False).reshape(len(got), -1)
 
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
@@ -140,12 +140,12 @@ def embedding_dedup(
     rows = scratch.keep(src.mapInArrow(unit_vectors, schema), "vectors")
     classes = rows.where("name is not null").groupBy("name").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
     classes = scratch.keep(classes, "classes")
-    dims = [r["d"] for r in classes.select(F.size("vec").alias("d")).distinct().limit(1000).collect()]
+    # vectors of each length have an index of their own; a row a length, usually one
+    dims = {r["d"]: r["count"] for r in classes.groupBy(F.size("vec").alias("d")).count().collect()}
     found, links = [], []
-    for d in dims:
+    for d, n in sorted(dims.items()):
         part = classes.where(F.size("vec") == d)
-        n = part.count()
-        pivots = choose_pivots(part, min(MAX_PIVOTS, max(MIN_PIVOTS, n // vectors_per_pivot), n), seed)
+        pivots = choose_pivots(part, min(max(MIN_PIVOTS, PIVOT_BYTES // (8 * d)), max(MIN_PIVOTS, n // vectors_per_pivot), n), seed)
         shared_pivots = spark.sparkContext.broadcast(pivots)
 
         def describe(batches: Iterator[pa.RecordBatch], held=shared_pivots) -> Iterator[pa.RecordBatch]:
@@ -195,7 +195,9 @@ def embedding_dedup(
     comp = connected_components(edges, scratch)
     degrees = degrees.groupBy(F.col("u").alias("name")).agg(F.sum("n").alias("n"))
     linked = classes.select("name", "copies", "least").join(comp.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    linked = scratch.keep(linked, "linked")
+    # written before it is joined, so that the rows of a large component may be dealt to several tasks
+    smallest = scratch.keep(linked.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
     labels_ = linked.join(smallest, "root").join(degrees, "name", "left").select(F.col("name").alias("c"), "component_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     labels_ = scratch.keep(labels_, "labels")
     out = rows.select("id", "name").join(labels_, F.col("name") == F.col("c"), "left")
