@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star rounds.
 
-Every round is two grouped minima and two joins, so a hub with any number of neighbours is
-aggregated before the shuffle and its join side may be split. Rounds are cut by a written table.
+Every round is two grouped minima and two joins. A hub with any number of neighbours is aggregated
+before the shuffle; the minima are written before they are joined, so the join has a shuffle of its own
+on either side, in which a hub's rows may be dealt to several tasks. Rounds are cut by a written table.
 """
 
 from __future__ import annotations
@@ -17,17 +18,17 @@ def _stamp(edges: DataFrame) -> tuple:
     return r["n"], r["x"]
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """edges with u > v: hang u and all its smaller neighbours on the smallest of them."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    low = scratch.keep(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     hung = edges.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.union(low.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Hang every larger neighbour of u on the smallest node among u and its neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
@@ -43,7 +44,9 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     for _ in range(max_rounds):
         if before[0] == 0:
             break
-        nxt = scratch.keep(_small_star(_large_star(e)), "edges")
+        larger = scratch.keep(_large_star(e, scratch), "larger")
+        nxt = scratch.keep(_small_star(larger, scratch), "edges")
+        scratch.drop(larger)
         scratch.drop(e)
         e, now = nxt, _stamp(nxt)
         if now == before:
