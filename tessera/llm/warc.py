@@ -31,6 +31,8 @@ DICT_BYTES = 64 << 10
 #: Payload bytes at a file's start from which its dictionary is trained, and bytes after which a file ends.
 SAMPLE_BYTES = 2 << 20
 FILE_BYTES = 1 << 30
+#: Pieces of records at most so long train it.
+PIECE = 16 << 10
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 
@@ -95,15 +97,18 @@ class ArchiveWriter:
         self.out.write(b)
         self.size += len(b)
 
+    def _dictionary(self) -> zstandard.ZstdCompressionDict:
+        """Trained on the held records, cut into pieces where they are few or long; if that fails, their own first bytes."""
+        size = max(64, min(PIECE, self.held_bytes // 32))
+        pieces = [r[a : a + size] for r in self.held for a in range(0, len(r), size)]
+        try:
+            return zstandard.train_dictionary(min(DICT_BYTES, max(1024, self.held_bytes // 8)), pieces)
+        except zstandard.ZstdError:  # too little or too uniform data to train on
+            # a raw dictionary may not begin with the magic of a trained one, and records begin with WARC
+            return zstandard.ZstdCompressionDict(b"".join(r[:DICT_BYTES] for r in self.held)[:DICT_BYTES], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
     def _start(self) -> None:
-        trained = None
-        if len(self.held) >= 16:
-            try:
-                trained = zstandard.train_dictionary(min(DICT_BYTES, max(1024, self.held_bytes // 8)), [r[: 128 << 10] for r in self.held])
-            except zstandard.ZstdError:
-                trained = None  # too little or too uniform data to train on
-        if trained is None:
-            trained = zstandard.ZstdCompressionDict(b"WARC/1.1\r\nWARC-Type: response\r\n", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        trained = self._dictionary()
         raw = trained.as_bytes()
         self._put(struct.pack("<II", SKIPPABLE, len(raw)) + raw)
         self.pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_content_size=True)

@@ -1,5 +1,8 @@
+import base64
+import hashlib
 import io
 import random
+import struct
 
 import pytest
 
@@ -19,6 +22,43 @@ def test_archive_of_many_records():
         assert list(warc.read_records(io.BytesIO(out.getvalue()))) == part
 
 
+def dictionary(recs):
+    out = io.BytesIO()
+    w = warc.ArchiveWriter(out)
+    for r in recs:
+        w.add(r)
+    w.close()
+    data = out.getvalue()
+    assert list(warc.read_records(io.BytesIO(data))) == recs
+    n = struct.unpack("<I", data[4:8])[0]
+    return data[8 : 8 + n]
+
+
+def test_dictionaries_are_built_from_records_however_few():
+    rnd = random.Random(2)
+    text = lambda n: " ".join(rnd.choice("alpha beta gamma delta <p> </p>".split()) + str(rnd.randrange(50)) for _ in range(n)).encode()
+    one = warc.record(1, "http://x/1", b"abc", None)
+    assert dictionary([one]) == one  # too little to train on: its own bytes
+    few = [warc.record(i, f"http://x/{i}", text(400), None) for i in range(3)]
+    assert dictionary(few)[:4] == b"\x37\xa4\x30\xec"
+    assert dictionary([warc.record(1, "http://x/1", text(600_000), None)])[:4] == b"\x37\xa4\x30\xec"
+    assert dictionary([warc.record(1, "u", b"z" * 3_000_000, None)])
+
+
+def test_query_against_brute_force(spark):
+    rnd = random.Random(3)
+    payloads = ["", None, *("".join(rnd.choice("<p>é日 abc") for _ in range(rnd.randrange(1, 300))) for _ in range(40))]
+    rows = [(i, f"http://x/{i}", rnd.choice(payloads), 1) for i in range(500)]
+    got = warc.archive_round_trip(spark.createDataFrame(rows, "page_id long, url string, html string, digest int")).collect()
+    want, latest = [], {}
+    for i, _, h, _ in rows:
+        latest[h or ""] = max(i, latest.get(h or "", i))
+    for i, _, h, _ in rows:
+        p = (h or "").encode()
+        want.append((i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), *(("response", None) if latest[h or ""] == i else ("revisit", latest[h or ""]))))
+    assert sorted(map(tuple, got)) == want and sum(w[3] == "revisit" for w in want) > 400
+
+
 def test_a_changed_payload_is_found():
     with pytest.raises(ValueError):
         warc.parse(warc.record(1, "u", b"abc", None).replace(b"abc", b"abd"))
