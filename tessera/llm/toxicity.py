@@ -9,7 +9,7 @@ itself, so ordinary words pass untouched.
 
 Scoring is by restored words. In the training fold, words and word beginnings that stand far more
 often in toxic texts than elsewhere get a weight; a text's score is a logistic function of the
-weights it holds.
+weights it holds, their number, the largest, and how many words there are (long texts hold more by chance).
 """
 
 from __future__ import annotations
@@ -238,7 +238,7 @@ class Weights:
         self.whole = {k for k in weight if k[-1] != "*"}
         self.starts = {n: {k[:-1]: w for k, w in weight.items() if k[-1] == "*" and len(k) == n + 1} for n in PREFIXES}
 
-    def totals(self, words: set[str]) -> tuple[float, float, float]:
+    def totals(self, words: set[str]) -> tuple[float, float, float, float]:
         best: dict[str, float] = {w: self.weight[w] for w in words & self.whole}
         for n, table in self.starts.items():
             if table:
@@ -247,7 +247,7 @@ class Weights:
                     if x is not None and x > best.get(w, 0.0):
                         best[w] = x
         v = best.values()
-        return (float(sum(v)), float(len(v)), max(v, default=0.0))
+        return (float(sum(v)), float(len(v)), max(v, default=0.0), float(len(words)))
 
     def score(self, totals: np.ndarray) -> np.ndarray:
         return sigmoid(inputs(totals) @ self.map[:-1] + self.map[-1])
@@ -265,11 +265,11 @@ def weights_of(counts: dict[str, tuple[int, int]], n1: int, n0: int) -> Weights:
         expect = (a + b) * n1 / (n1 + n0)
         if lift > 1.1 and (a - expect) / np.sqrt(expect + 1e-9) > 5:
             weight[k] = float(min(lift, 8.0))
-    return Weights(weight, np.zeros(4))
+    return Weights(weight, np.zeros(5))
 
 
 def inputs(totals: np.ndarray) -> np.ndarray:
-    return np.column_stack([totals[:, 0] / 10, np.log1p(totals[:, 1]), totals[:, 2] / 5])
+    return np.column_stack([totals[:, 0] / 10, np.log1p(totals[:, 1]), totals[:, 2] / 5, np.log1p(totals[:, 3]) / 5])
 
 
 def train(
@@ -278,7 +278,7 @@ def train(
     """The language model over all texts, and the weights from at most sample_rows labelled ones.
 
     Keys are counted where the texts are; the driver gets those that stand in min_count toxic texts at least,
-    and three numbers a labelled text.
+    and four numbers a labelled text.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
@@ -316,11 +316,11 @@ def train(
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            t = np.array([weights.totals(set(w)) for w in b.column(2).to_pylist()]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, pa.float64()) for c in t.T)], names=["id", "y", "s", "n", "m"])
+            t = np.array([weights.totals(set(w)) for w in b.column(2).to_pylist()]).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, pa.float64()) for c in t.T)], names=["id", "y", "s", "n", "m", "w"])
 
-    got = read_texts.mapInArrow(total, "id long, y int, s double, n double, m double").toArrow().sort_by([("id", "ascending")])
-    weights.map = fit_logistic(inputs(np.column_stack([got[c].to_numpy() for c in ("s", "n", "m")])), got["y"].to_numpy(), l2=1e-4)
+    got = read_texts.mapInArrow(total, "id long, y int, s double, n double, m double, w double").toArrow().sort_by([("id", "ascending")])
+    weights.map = fit_logistic(inputs(np.column_stack([got[c].to_numpy() for c in ("s", "n", "m", "w")])), got["y"].to_numpy(), l2=1e-4)
     return lm, weights
 
 
@@ -347,7 +347,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
                 s, shown = np.zeros(len(texts)), [""] * len(texts)
             else:
                 words = [r.words(t) for t in texts]
-                s = weights.score(np.array([weights.totals(w) for w in words]).reshape(-1, 3))
+                s = weights.score(np.array([weights.totals(w) for w in words]).reshape(-1, 4))
                 shown = [",".join(sorted(w & weights.whole, key=lambda k: (-weights.weight[k], k))[:5]) for w in words]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array(shown, pa.string())], names=["id", "score", "terms"])
 
