@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions.schema import CHUNK_ONLY, Field
 from tessera.functions.text import fold_text
 from tessera.operators import merge
-from tessera.runtime import Scratch, ship_package
+from tessera.runtime import Scratch, ship_package, spread
 
 _CLAIM = pa.schema([("doc", pa.string()), ("ci", pa.int32()), ("pos", pa.int32()), ("cid", pa.string()), ("field", pa.string()), ("rule", pa.string()), ("value", pa.string()), ("fold", pa.string()), ("anon", pa.bool_()),
                     ("key", pa.string()), ("nested_rank", pa.int32()), ("nested", pa.string()), ("values", pa.list_(pa.string()))])
@@ -68,7 +68,8 @@ def claims(chunks: DataFrame, fields: list[Field]) -> DataFrame:
                     rows += [{"doc": doc, "ci": ci, "cid": cid, **c} for c in claims_of(json.loads(text), fields)]
             yield pa.RecordBatch.from_pylist(rows, schema=_CLAIM)
 
-    return chunks.where("extraction is not null").select("doc", F.col("ci").cast("int"), "cid", "extraction").mapInArrow(run, CLAIM)
+    stated = chunks.where("extraction is not null").select("doc", F.col("ci").cast("int"), "cid", "extraction")
+    return spread(stated).mapInArrow(run, CLAIM)
 
 
 def _by_doc(df: DataFrame, order, value, name: str) -> DataFrame:
