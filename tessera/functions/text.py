@@ -8,9 +8,11 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.runtime import ship_package
+
 CJK = "[\\u4E00-\\u9FFF]"
 ASCII_WORD = "[a-zA-Z0-9]+"
 #: White space as Python's str.strip sees it: Unicode's and U+001C to U+001F.
@@ -71,7 +73,8 @@ def fold_text(value: object) -> str:
 
 
 def identity_fold(value: Column) -> Column:
-    """The fold of any text, in one Arrow pass."""
+    """The fold of any text, in one Arrow pass of the active session."""
+    ship_package(SparkSession.active())
 
     @F.pandas_udf("string")
     def fold(v: pd.Series) -> pd.Series:

@@ -108,7 +108,11 @@ def pack_chunks_overlap(spark, d):
 
 
 def document_chunks(spark, d):
-    c = S.chunk_sections(S.build_sections(_elements(spark, d)), MAX_TOKENS, OVERLAP)
+    return chunk_rows(_elements(spark, d))
+
+
+def chunk_rows(elements: DataFrame) -> DataFrame:
+    c = S.chunk_sections(S.build_sections(elements), MAX_TOKENS, OVERLAP)
     whole = [F.col(x).cast("long").alias(x) for x in ("source_page", "source_page_end", "chunk_index", "token_estimate")]
     return c.select(F.col("doc").cast("long").alias("doc_id"), "chunk_id", "source_section", "source_position", F.md5("content").alias("content_md5"), "content_type", "image_refs", *whole)
 
@@ -154,13 +158,17 @@ def _reply_rule(user: str) -> str:
     return "not json" if len(user) % 5 == 0 else '{"n": %d, "confidence_score": %s, "thinking": "t"}' % (len(user), len(user) % 10 / 10)
 
 
-def _envelopes(spark, d):
-    prompts = E.Prompts({"prompts": {"version": "1", "system": "s", "user_template": "{content}"}, "extraction": {"core": True, "schema_version": "1"}})
-    c = _turns(spark, d).select(
+def turn_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """A conversation's turns as chunks of a document."""
+    return _turns(spark, d).select(
         F.col("doc").cast("string").alias("doc"), F.col("cid").alias("chunk_id"), F.concat("role", F.lit(".docx")).alias("source_file"), (F.col("ci") + 1).alias("source_page"), F.lit("turn").alias("source_section"), F.concat(F.lit("turn "), "ci").alias("source_position"),
         F.col("ci").alias("chunk_index"), F.col("text").alias("content"),
     )
-    return E.extract(c, E.RuleProvider(_reply_rule), prompts)
+
+
+def _envelopes(spark, d):
+    prompts = E.Prompts({"prompts": {"version": "1", "system": "s", "user_template": "{content}"}, "extraction": {"core": True, "schema_version": "1"}})
+    return E.extract(turn_chunks(spark, d), E.RuleProvider(_reply_rule), prompts)
 
 
 def extract_envelope(spark, d):

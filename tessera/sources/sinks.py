@@ -27,10 +27,18 @@ INTERNAL = ("doc", "raw_response", "parse_error", "chunk_index", "stated_confide
 
 
 def by_source(results: DataFrame) -> DataFrame:
-    """source_file, results: structured envelopes of a file as a JSON array in chunk order; no name: "unknown"."""
+    """source_file, results: structured envelopes of a file as a JSON array in chunk order; no name: "unknown".
+
+    An envelope has all its keys, in their order, nulls too; its extraction is an object, as the model wrote it.
+    """
     rows = structured(results).withColumn("source_file", F.coalesce("source_file", F.lit("unknown")))
-    body = F.struct(*[F.col(c) for c in results.columns if c not in INTERNAL])
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_id", F.to_json(body).alias("v")))), lambda x: x["v"])
+    names = [c for c in results.columns if c not in INTERNAL]
+    at = names.index("extraction_result") if "extraction_result" in names else len(names)
+    inner = [F.regexp_replace(F.to_json(F.struct(*part), {"ignoreNullFields": "false"}), "^\\{|\\}$", "") for part in (names[:at], names[at + 1 :]) if part]
+    if at < len(names):
+        inner.insert(min(at, 1), F.concat(F.lit('"extraction_result":'), F.coalesce("extraction_result", F.lit("null"))))
+    body = F.concat(F.lit("{"), F.concat_ws(",", *inner), F.lit("}"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_id", body.alias("v")))), lambda x: x["v"])
     return rows.groupBy("source_file").agg(F.concat(F.lit("["), F.array_join(listed, ",\n"), F.lit("]")).alias("results"))
 
 

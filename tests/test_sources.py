@@ -260,3 +260,23 @@ def test_service(spark, config_file):
             ask("/extract", data)
         assert e.value.code == status
     server.shutdown()
+
+
+def test_json_file_holds_objects(spark):
+    """Every key of an envelope in its order, the extraction as the model wrote it, nulls too."""
+    first = {"z": 1, "a": [0.10, None], "q": 'say "x" {y}'}
+    names = [c for c in E._NAMES if c not in sinks.INTERNAL]
+    rows = [{"doc": "d", "chunk_id": "d_1", "source_file": "r.docx", "chunk_index": 1, "is_structured": True, "extraction_result": json.dumps(first)}, {"doc": "d", "chunk_id": "d_0", "source_file": "r.docx", "chunk_index": 0, "is_structured": True}]
+    got = sinks.by_source(spark.createDataFrame(rows, "doc string, " + E.ENVELOPE)).collect()
+    results = json.loads(got[0].results)
+    assert [r["chunk_id"] for r in results] == ["d_0", "d_1"] and [list(r) for r in results] == [names, names]
+    assert results[1]["extraction_result"] == first and list(results[1]["extraction_result"]) == ["z", "a", "q"]
+    assert results[0]["extraction_result"] is None
+
+
+def test_word_file_of_hard_text(spark):
+    from tessera.plan_queries import word_file
+
+    text = "A & B <c>\r\n\n" + "long line " * 9 + "\n]]> \t tail"
+    got = [(e["text"], e["style_heading"]) for e in docx.parse_elements(word_file(text))]
+    assert got == [("A & B <c>", True), ("", False), (("long line " * 9).strip(), False), ("]]> \t tail", True)]
