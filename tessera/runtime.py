@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 _PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
 _local_roots: dict[str, str] = {}
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -50,11 +51,13 @@ def _fs(spark: SparkSession, path: str):
 class Scratch:
     """Tables of one job in the shared folder. They cut lineage and survive lost executors.
 
-    ``keep`` writes and reads back; ``drop`` removes what later steps no longer need.
+    ``keep`` writes and reads back; ``drop`` removes what later steps no longer need. With
+    ``free_shuffles``, the shuffle files of a table go as soon as it is written.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, free_shuffles: bool = False):
         self.spark = spark
+        self.free_shuffles = free_shuffles
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
 
@@ -69,7 +72,14 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = self.folder(name)
-        df.write.parquet(path)
+        before = self.spark.conf.get(_FREE, "false")
+        if self.free_shuffles:
+            self.spark.conf.set(_FREE, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if self.free_shuffles:
+                self.spark.conf.set(_FREE, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

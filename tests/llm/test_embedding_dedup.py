@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -56,3 +57,27 @@ def test_against_brute_force(spark):
 
 def test_empty(spark):
     assert E.embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
+
+
+def test_pivot_search_holds_few_cosines():
+    rnd = np.random.default_rng(2)
+    x, pivots = rnd.normal(size=(4000, 8)), rnd.normal(size=(8192, 8))
+    tracemalloc.start()
+    near = E.nearest_pivots(x, pivots, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 128 << 20, peak  # all cosines at once are 262 MB, and as much again for each copy
+    some = rnd.permutation(4000)[:50]
+    assert np.array_equal(near[some], np.argsort(-(x[some] @ pivots.T), axis=1)[:, :5])
+
+
+def test_rounds_lengths_and_large_clusters(spark, monkeypatch):
+    monkeypatch.setattr(E, "ROUND_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(E, "PAIRS", 500, raising=False)
+    rnd = np.random.default_rng(8)
+    rows = [(int(i), rnd.normal(size=6 + i % 2).tolist(), int(i) % 3) for i in range(200)]
+    centre = rnd.normal(size=24)
+    rows += [(1000 + k, (centre + 0.02 * rnd.normal(size=24)).tolist(), 7) for k in range(300)]
+    rows += [(5000 + k, [1.0 + k, 2.0], 100 + k) for k in range(40)] + [(6000, [1e-300, 0.0], 1), (6001, [1e300, 0.0], 1)]
+    got = sorted((tuple(r) for r in E.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()), key=repr)
+    assert got == brute([r for r in rows if r[0] < 6000] + [(6000, [1.0, 0.0], 1), (6001, [1.0, 0.0], 1)], 0.93)
