@@ -46,6 +46,29 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Whole(Exception):
+    """A unit whose text must be encoded whole."""
+
+
+class _Known(dict):
+    """Units and their ids; a unit met for the first time is made. What the generation before knew moves over when it is met."""
+
+    def __init__(self, make, before: dict | None = None):
+        self.make, self.before = make, before or {}
+
+    def __missing__(self, u: str) -> bytes:
+        before = self.before
+        got = self[u] = before.pop(u) if u in before else self.make(u)
+        return got
+
+    def next(self) -> "_Known":
+        """This table, or one that follows it if it holds half of MEMO_WORDS: words that come again stay, others go."""
+        if len(self) <= MEMO_WORDS // 2:
+            return self
+        self.before = {}
+        return _Known(self.make, self)
+
+
 class WordMemo:
     """Byte-level BPE by the tokenizers library, with the ids of words met before kept in a bounded table.
 
@@ -59,11 +82,19 @@ class WordMemo:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes | None] = {}
-        self.bare: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.packed = [struct.pack("<I", i) for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        self.memo = _Known(self._unit)
+        self.bare = _Known(lambda u: self._piece(u, ""))
+        self.marks = _Known(lambda u: self._ids([u])[0])
         self.special = [str(t.content)[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.break_ = self._ids(["\n"])[0]
-        self.letters = self._byte_letters()
+        letters = self._byte_letters()
+        self.space = letters and letters[32]
+        # a byte whose form isn't known becomes a null character
+        self.letters = letters and {b: letters.get(b, "\0") for b in range(256)}
+        # the letters a-z and A-Z may stand for themselves
+        self.plain = letters is not None and all(letters.get(ord(c)) == c for c in string.ascii_letters)
 
     def _byte_letters(self) -> dict[int, str] | None:
         """How the pre-tokenizer shows each byte, if it is the byte-level one: a word is then the model's own input."""
@@ -84,70 +115,57 @@ class WordMemo:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(i)}I", *i) for i in (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
 
-    def _word(self, w: str) -> bytes | None:
-        """Ids of letters that the pre-tokenizer leaves whole; nothing if a byte's form isn't known."""
-        try:
-            shown = "".join([self.letters[b] for b in w.encode()])
-        except KeyError:
-            return None
-        ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _piece(self, u: str, table: dict[str, bytes], lead: str) -> bytes:
+    def _word(self, w: str, lead: str) -> bytes:
+        """Ids of letters that the pre-tokenizer leaves whole; by all of the tokenizer if a byte's form isn't known."""
+        if self.plain and w.isascii():
+            shown = self.space + w if lead else w
+        else:
+            shown = (lead + w).encode().decode("latin-1").translate(self.letters)
+            if "\0" in shown:
+                return self._ids([lead + w])[0]
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize(shown)])
+
+    def _piece(self, u: str, lead: str) -> bytes:
         """Ids of a unit without line breaks: letters, then marks, or anything else whole."""
-        got = table.get(u)
-        if got is None:
+        if self.letters is not None:
+            if u.isalpha():
+                return self._word(u, lead)
             head = u.rstrip(string.punctuation)
-            if head and head.isalpha() and self.letters is not None:
-                got = table.get(head) or self._word(lead + head)
-                if got is not None:
-                    table[head] = got
-                    if len(head) < len(u):
-                        tail = u[len(head) :]
-                        marks = self.bare.get(tail)
-                        if marks is None:
-                            marks = self.bare[tail] = self._ids([tail])[0]
-                        got += marks
-            if got is None:
-                got = self._ids([lead + u])[0]
-            table[u] = got
-        return got
-
-    def _learn(self, units: set[str]) -> None:
-        memo = self.memo
-        for u in units:
-            if not u or u[-1].isspace() or any(s in u for s in self.special):
-                memo[u] = None
-            elif "\n" in u:
-                lines = u.split("\n")
-                if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
-                    first = memo.get(lines[0]) or self._piece(lines[0], memo, " ")
-                    memo[u] = first + b"".join([self.break_ + self._piece(x, self.bare, "") for x in lines[1:]])
-                else:
-                    memo[u] = self._ids([" " + u])[0]
-            else:
-                self._piece(u, memo, " ")
+            if head.isalpha():
+                return (self.memo if lead else self.bare)[head] + self.marks[u[len(head) :]]
+        return self._ids([lead + u])[0]
+
+    def _unit(self, u: str) -> bytes:
+        """Ids of a unit after a space."""
+        if u.isalpha() and self.letters is not None:
+            if self.plain and u.isascii():
+                packed = self.packed
+                return b"".join([packed[t.id] for t in self.tokenize(self.space + u)])
+            return self._word(u, " ")
+        if not u or u[-1].isspace() or any([s in u for s in self.special]):
+            raise Whole
+        if "\n" not in u:
+            return self._piece(u, " ")
+        first, *lines = u.split("\n")
+        if not first or first[0].isspace() or first[-1].isspace() or not all([x and not x[0].isspace() and not x[-1].isspace() for x in lines]):
+            return self._ids([" " + u])[0]
+        return self.memo[first] + b"".join([self.break_ + self.bare[x] for x in lines])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        parts = [t.split(" ") for t in texts]
-        for table in (self.memo, self.bare):
-            if len(table) > MEMO_WORDS:
-                table.clear()
-        new = set().union(*[p[1:] for p in parts]) - self.memo.keys()
-        if new:
-            self._learn(new)
-        memo, out, whole = self.memo, [], []
-        heads = self._ids([p[0] for p in parts])
-        for n, p in enumerate(parts):
-            ids = [memo[u] for u in p[1:]]
-            if None in ids or p[0] and (p[0][-1].isspace() or any(s in p[0] for s in self.special)):
-                whole.append(n)
-                out.append(b"")
-            else:
-                out.append(heads[n] + b"".join(ids))
-        for n in whole:
-            out[n] = self._ids([texts[n]])[0]
+        self.memo, self.bare, self.marks = self.memo.next(), self.bare.next(), self.marks.next()
+        known, out = self.memo.__getitem__, []
+        firsts = [t.partition(" ")[0] for t in texts]
+        # split one text at a time: its words are looked up while they are in the processor's cache
+        for text, first, head in zip(texts, firsts, self._ids(firsts)):
+            try:
+                if first and (first[-1].isspace() or any([s in first for s in self.special])):
+                    raise Whole
+                units = text.split(" ")
+                out.append(head + b"".join(map(known, units[1:])))
+            except Whole:
+                out.append(self._ids([text])[0])
         return out
 
 

@@ -73,3 +73,14 @@ def test_query(spark):
 def test_bad_file():
     with pytest.raises(ValueError):
         list(T.read_documents(pa.BufferReader(bytes(40))))
+
+
+def test_words_that_come_again_stay_known(monkeypatch):
+    monkeypatch.setattr(T, "MEMO_WORDS", 40)
+    memo, made = T.WordMemo(T.vocabulary()), []
+    tokenize = memo.tokenizer.model.tokenize
+    memo.tokenize = lambda w: made.append(w) or tokenize(w)
+    for n in range(20):
+        memo.encode(["x often again " + " ".join("w" + "abcdefghij"[n % 10] * k + "z" * n for k in range(1, 25))])
+    assert [made.count("Ġ" + w) for w in ("often", "again")] == [1, 1]
+    assert len(memo.memo) + len(memo.memo.before) < 100
