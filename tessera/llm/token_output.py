@@ -6,9 +6,10 @@ that holds a chosen percentile of the differences to it, the packed low bits of
 list of exceptions (position, difference) for those that need more. The footer holds where each
 block starts, and each document's id and length, so any document can be read by its blocks alone.
 
-Attempts write under names of their own; the manifest, a table that Spark commits, names the files
-that count, so a lost executor leaves at most a file that nobody reads. A file's first token has a
-global number: the sum of the tokens in the files before it, of which there is one a partition.
+Attempts write under names of their own; the driver takes the row of one attempt of each partition,
+and the manifest, a table of one file, names these, so a lost executor leaves at most a file that
+nobody reads. A file's first token has a global number: the sum of the tokens in the files before it,
+of which there is one a partition. Small files are read several in a task.
 
 Layout, little-endian: "PFR1", u32 block size; blocks: u32 minimum, u8 width, u16 exceptions,
 packed bits, u16 positions, u32 differences; footer: u64 block starts, u8 id present, i64 ids, u64
@@ -34,6 +35,8 @@ from tessera.runtime import Scratch, ship_package, shuffle_partitions
 BLOCK = 512
 PERCENTILE = 90.0
 FLUSH_TOKENS = 1 << 20
+#: Tokens that a task reads back at least, as far as the session's cores all have work.
+READ_TOKENS = 1 << 20
 MEMO_WORDS = 700_000
 TEXT_SLICE = 4 << 20
 
@@ -349,22 +352,27 @@ def write_tokens(docs: DataFrame, folder: str, scratch: Scratch, id_col: str = "
             name = path.rsplit("/", 1)[1]
             yield pa.RecordBatch.from_pydict({"part": [part], "name": [name], "n_docs": [len(writer.docs)], "n_tokens": [writer.tokens]})
 
-    return scratch.keep(rows.mapInArrow(run, "part long, name string, n_docs long, n_tokens long"), "manifest")
+    schema = "part long, name string, n_docs long, n_tokens long"
+    listed = sorted(rows.mapInArrow(run, schema).collect())  # a row a partition
+    return scratch.keep(spark.createDataFrame(listed, schema).coalesce(1), "manifest")
 
 
 def read_tokens(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
     """Read the manifest's files back: id, start, n_tokens, ids_crc32 of each document."""
     spark = manifest.sparkSession
     files = sorted(manifest.collect(), key=lambda r: r["part"])  # a row a partition
-    base, listed = 0, []
-    for r in files:
-        listed.append((r["name"], base))
+    total = max(1, sum(r["n_tokens"] for r in files))
+    tasks = min(len(files), max(spark.sparkContext.defaultParallelism, total // READ_TOKENS))
+    base, dealt = 0, {}
+    for r in files:  # to the task in whose share of the tokens a file begins
+        dealt.setdefault(base * tasks // total, []).append((r["name"], base))
         base += r["n_tokens"]
+    shares = list(dealt.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
         for b in batches:
-            for name, first in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for name, first in [x for n in b.column(0).to_pylist() for x in shares[n]]:
                 fs_, root = _file_system(folder)
                 rows = []
                 with fs_.open_input_file(f"{root}/{name}") as f:
@@ -376,7 +384,7 @@ def read_tokens(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> Dat
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
 
-    src = spark.createDataFrame(listed, "name string, first long").repartition(max(1, len(listed)), "name")
+    src = spark.range(0, len(shares), 1, max(1, len(shares)))  # a row a partition
     return src.mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 

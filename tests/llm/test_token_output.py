@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tessera.llm import token_output as T
+from tessera.runtime import Scratch
 
 TEXTS = ["", None, "a", " a  b", "x <|endoftext|> y", "one two.\nThree, four. \n five", "é ü " * 50, "a  b \t c ", "word, word. Word", "9" * 3000, "trailing ", "\n", "it's  we'll they're 12 34"]
 
@@ -84,3 +85,25 @@ def test_words_that_come_again_stay_known(monkeypatch):
         memo.encode(["x often again " + " ".join("w" + "abcdefghij"[n % 10] * k + "z" * n for k in range(1, 25))])
     assert [made.count("Ġ" + w) for w in ("often", "again")] == [1, 1]
     assert len(memo.memo) + len(memo.memo.before) < 100
+
+
+def test_many_small_files_are_listed_in_one_and_read_together(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        scratch = Scratch(spark, "tokens")
+        folder = scratch.mkdirs(scratch.folder("files"))
+        docs = spark.createDataFrame([(n, f"text {n} " * (n % 5)) for n in range(300)], "doc_id long, text string")
+        manifest = T.write_tokens(docs, folder, scratch)
+        files = manifest.count()
+        assert files > 20 and len(manifest.inputFiles()) == 1
+        few = T.read_tokens(manifest, folder)
+        assert few.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        monkeypatch.setattr(T, "READ_TOKENS", 1)
+        many = T.read_tokens(manifest, folder)
+        assert few.rdd.getNumPartitions() < many.rdd.getNumPartitions() <= files
+        rows = sorted(few.collect())
+        assert rows == sorted(many.collect()) and [r.doc_id for r in rows] == list(range(300))
+        assert [r.start for r in rows] == np.cumsum([0, *[r.n_tokens for r in rows]])[:-1].tolist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
