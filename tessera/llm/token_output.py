@@ -35,6 +35,8 @@ from tessera.runtime import Scratch, ship_package, shuffle_partitions
 BLOCK = 512
 PERCENTILE = 90.0
 FLUSH_TOKENS = 1 << 20
+#: Blocks packed at once: their bits are held as 32-bit numbers meanwhile.
+PACK_BLOCKS = 128
 #: Tokens that a task reads back at least, as far as the session's cores all have work.
 READ_TOKENS = 1 << 20
 MEMO_WORDS = 700_000
@@ -186,8 +188,8 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
     """Blocks of BLOCK ids each (the last may be shorter), encoded."""
     full = len(ids) // BLOCK
     out: list[bytes] = []
-    for a in range(0, full, 2048):
-        rows = ids[a * BLOCK : min(full, a + 2048) * BLOCK].reshape(-1, BLOCK)
+    for a in range(0, full, PACK_BLOCKS):
+        rows = ids[a * BLOCK : min(full, a + PACK_BLOCKS) * BLOCK].reshape(-1, BLOCK)
         out += _pack_rows(rows, percentile)
     if len(ids) % BLOCK:
         out += _pack_rows(ids[full * BLOCK :].reshape(1, -1), percentile)

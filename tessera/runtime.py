@@ -14,10 +14,18 @@ _PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
 _local_roots: dict[str, str] = {}
 _FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows that go to Python at once, where the session sets no bound of its own; Spark's is 64 MB.
+BATCH_BYTES = 4 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give executors this package once a session, so that Python stages need no install there."""
+    """Give executors this package once a session, so that Python stages need no install there.
+
+    Batches are held several times over on either side (vectors that double, lists of texts), so they are kept small.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -4,6 +4,7 @@ import duckdb
 import pyarrow as pa
 
 import corpus_pipeline as C
+from tessera import runtime
 from tessera.llm import quality
 from tessera.llm.queries import OP6_SQL, OP7_SQL
 from tessera.llm.token_output import vocabulary
@@ -75,3 +76,24 @@ def test_edges(spark, tmp_path):
         out = stage(spark, frame, f"file://{tmp_path}/a")
         assert out.columns == frame.columns, name
         assert {tuple(r)[4:] for r in out.collect()} == {extra}, name
+
+
+def test_batches_of_texts_are_small(spark):
+    """What goes to Python at once is bounded by bytes, also where rows are long; a bound that the session sets stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    def largest():
+        runtime.ship_package(spark)
+        return max(r.n for r in spark.range(0, 3000, 1, 1).selectExpr("repeat('word ', 2000) AS text").mapInArrow(sizes, "n long").collect())
+
+    spark.conf.unset(key)
+    assert largest() < runtime.BATCH_BYTES + (1 << 20)
+    try:
+        spark.conf.set(key, 16 << 20)
+        assert largest() > 15 << 20
+    finally:
+        spark.conf.unset(key)

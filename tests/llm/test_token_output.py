@@ -1,5 +1,6 @@
 import io
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -107,3 +108,12 @@ def test_many_small_files_are_listed_in_one_and_read_together(spark, monkeypatch
         assert [r.start for r in rows] == np.cumsum([0, *[r.n_tokens for r in rows]])[:-1].tolist()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_packing_takes_little_memory():
+    ids = np.random.default_rng(3).integers(0, 50257, 1 << 20).astype("<u4")
+    tracemalloc.start()
+    blocks = T.pack(ids)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(blocks) == len(ids) // T.BLOCK and most < 32 << 20
