@@ -3,6 +3,7 @@
 Every round is two grouped minima and two joins. A hub with any number of neighbours is aggregated
 before the shuffle; the minima are written before they are joined, so the join has a shuffle of its own
 on either side, in which a hub's rows may be dealt to several tasks. Rounds are cut by a written table.
+The tables of a graph of few edges are written by a task a core, whatever the number of shuffle partitions.
 """
 
 from __future__ import annotations
@@ -12,6 +13,19 @@ from pyspark.sql import functions as F
 
 from tessera.runtime import Scratch
 
+#: Up to so many edges, a round's tables get as many files as the session has cores.
+FEW_EDGES = 1 << 20
+
+
+class _Few:
+    """Scratch tables of a file a core at most."""
+
+    def __init__(self, scratch: Scratch):
+        self.scratch, self.drop = scratch, scratch.drop
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self.scratch.keep(df.coalesce(df.sparkSession.sparkContext.defaultParallelism), name)
+
 
 def _stamp(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
@@ -44,8 +58,9 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     for _ in range(max_rounds):
         if before[0] == 0:
             break
-        larger = scratch.keep(_large_star(e, scratch), "larger")
-        nxt = scratch.keep(_small_star(larger, scratch), "edges")
+        own = _Few(scratch) if before[0] <= FEW_EDGES else scratch
+        larger = own.keep(_large_star(e, own), "larger")
+        nxt = own.keep(_small_star(larger, own), "edges")
         scratch.drop(larger)
         scratch.drop(e)
         e, now = nxt, _stamp(nxt)

@@ -4,6 +4,8 @@ import pytest
 import xxhash
 
 from tessera.llm import simhash
+from tessera.llm.components import connected_components
+from tessera.runtime import Scratch
 
 ROWS = [(1, "a b c d e f g"), (2, "A b\tc  d e f g"), (3, None), (4, ""), (5, " \n"), (None, "a b c d e f g"), (1, "a b c d e f g"), (9, "x y"), (7, "é Éa b c d")]
 
@@ -108,3 +110,27 @@ def test_one_of_each(spark):
     got = sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect())
     assert got == sorted((n, i) for n, i, _ in want.values())
     assert simhash.keep_one_of_each(df.limit(0)).collect() == []
+
+
+def test_components_of_few_edges_write_few_files(spark):
+    """Also where Spark leaves empty and small partitions as they are."""
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in held}
+    written = []
+
+    class Counted(Scratch):
+        def keep(self, df, name):
+            out = super().keep(df, name)
+            written.append((name, len(out.inputFiles())))
+            return out
+
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(n, n + 1) for n in range(200) if n % 50], "u long, v long")
+        got = {(r.node, r.root) for r in connected_components(edges, Counted(spark, "few")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {(n, (n - 1) // 50 * 50 + 1) for n in range(1, 201)}
+    assert max(n for name, n in written if name in ("least", "larger")) <= spark.sparkContext.defaultParallelism
